@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zipfile
 from collections.abc import Callable
 from functools import cache
@@ -15,7 +16,7 @@ from checks import views as v
 from colloquy.functions.calendar import with_local_hour, with_time_parts, with_weekday_name, with_year_month
 from colloquy.functions.text import clean_text, explode_tokens, tokens_of
 from colloquy.operators import evaluation, models, subsets, terms, trips, users
-from colloquy.operators.model_base import community_features, model_base, user_features
+from colloquy.operators.model_base import community_features, model_base, model_input, user_features
 from colloquy.operators.rates import by_rate, rate_by
 from colloquy.operators.sentiment import comment_sentiment, sentiment_by
 from colloquy.schema import LOCAL_ZONE, NEGATIVE_WORDS, POSITIVE_WORDS
@@ -98,7 +99,7 @@ def _(spark, sf_dir):
 @query("roundtrip_feature_base", BASE + f"select {FEATURE_COLUMNS} from features")
 def _(spark, sf_dir):
     df = v.features(spark, sf_dir)
-    path = f"{staging_root(spark)}/feature_base"
+    path = f"{staging_root(spark)}/feature_base-{uuid.uuid4().hex}"
     write_table(df, path, partition_by=("year", "month"))
     return plain_time(read_table(spark, path).select(*df.columns), "created_ts")
 
@@ -715,8 +716,7 @@ def _(spark, sf_dir):
 
 
 def trained(spark, sf_dir, *names: str) -> list[models.Trained]:
-    base = models.model_input(model_base(v.features(spark, sf_dir)))
-    return models.train_models(base, names)
+    return models.train_models(model_input(v.features(spark, sf_dir)), names)
 
 
 def both_metrics(spark, sf_dir) -> DataFrame:

@@ -49,7 +49,8 @@ def comments(spark: SparkSession, sf_dir: str, nulls: bool = False) -> DataFrame
         author = F.when(k != 71, author)
         community = F.when(k != 81, community)
         flagged = F.when(k != 95, flagged)
-    return events.join(documents, "doc_id").select(
+    # Both sides grow with the data; a small scan must not become one task of the join.
+    return events.join(documents.hint("merge"), "doc_id").select(
         F.col("event_id").cast("string").alias("id"),
         author.alias("author"),
         community.alias("subreddit"),

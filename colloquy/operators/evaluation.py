@@ -36,28 +36,25 @@ def class_weights(train: DataFrame, label: str = "label") -> DataFrame:
     sizes = train.agg(
         *[F.greatest(F.count_if(F.col(label) == c), F.lit(1)).alias(str(c)) for c in (0, 1)]
     )
-    total = F.col("0") + F.col("1")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("label"),
-                F.col(str(c)).alias("rows"),
-                (total / (2 * F.col(str(c)))).alias("weight"),
-            )
-            for c in (0, 1)
-        ]
-    )
-    return sizes.select(F.inline(rows))
+    return sizes.select(F.inline(F.array(*[_weight_row(c) for c in (0, 1)])))
+
+
+def _weight_row(c: int) -> Column:
+    rows = F.col(str(c))
+    weight = (F.col("0") + F.col("1")) / (2 * rows)
+    return F.struct(F.lit(c).alias("label"), rows.alias("rows"), weight.alias("weight"))
 
 
 def with_class_weights(train: DataFrame, out: str = "classWeightCol") -> DataFrame:
-    """Rows labelled 1 get that class's weight, all others the weight of class 0."""
-    weights = class_weights(train)
+    """Rows labelled 1 get that class's weight, all others the weight of class 0.
+    The two weights are one scalar subquery; nothing comes back to the driver."""
 
-    def weight(c: int) -> Column:
-        return weights.filter(F.col("label") == c).select("weight").scalar()
+    def of(c: int) -> Column:
+        return F.max(F.when(F.col("label") == c, F.col("weight"))).alias(f"w{c}")
 
-    return train.withColumn(out, F.when(F.col("label") == 1, weight(1)).otherwise(weight(0)))
+    pair = class_weights(train).agg(of(0), of(1)).select(F.struct("w0", "w1")).scalar()
+    weight = F.when(F.col("label") == 1, pair.getField("w1")).otherwise(pair.getField("w0"))
+    return train.withColumn(out, weight)
 
 
 def confusion(predictions: DataFrame) -> DataFrame:

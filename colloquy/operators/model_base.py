@@ -9,9 +9,15 @@ from colloquy.functions.numbers import log_feature
 from colloquy.operators.keyed_join import attach_by_key
 from colloquy.operators.subsets import valid_text_rows
 from colloquy.operators.users import author_activity, mean_of, multi_community_flag
-from colloquy.schema import MODEL_BASE_COLUMNS
+from colloquy.schema import CATEGORY_FEATURES, MODEL_BASE_COLUMNS, NUMERIC_FEATURES
 from colloquy.staging import stage
 
+# What the model inputs are made from.
+INPUT_SOURCES = (
+    "id", "author", "subreddit", "controversiality", "score",
+    "month", "hour", "weekday", "body_length_chars", "body_length_words",
+)
+
 
 def user_features(activity: DataFrame) -> DataFrame:
     """One row per author, from :func:`author_activity` of the valid rows."""
@@ -58,16 +64,29 @@ def with_model_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def model_base(features: DataFrame, **join) -> DataFrame:
-    """Comments without an author or community keep NULL features.
+def with_features(valid: DataFrame, **join) -> DataFrame:
+    """Valid rows with both feature tables and the model columns.
 
     Activity is aggregated and written once; both feature tables come from it.
-    ``join`` goes to :func:`attach_by_key`.
+    ``join`` goes to :func:`attach_by_key`. Comments without an author or community
+    keep NULL features.
     """
-    valid = valid_text_rows(features)
     activity = stage(author_activity(valid), "model-activity")
     users = stage(user_features(activity), "user-features")
     communities = stage(community_features(activity), "community-features")
     joined = attach_by_key(valid, users, "author", "total_comments_per_user", "left", **join)
     joined = attach_by_key(joined, communities, "subreddit", "subreddit_total_comments", "left", **join)
-    return with_model_columns(joined).select(*MODEL_BASE_COLUMNS)
+    return with_model_columns(joined)
+
+
+def model_base(features: DataFrame, **join) -> DataFrame:
+    """The full model table, bodies included."""
+    return with_features(valid_text_rows(features), **join).select(*MODEL_BASE_COLUMNS)
+
+
+def model_input(features: DataFrame, **join) -> DataFrame:
+    """The columns the models read, as a written table: fitting passes over them
+    often. Bodies are read once, to find the valid rows, and never shuffled."""
+    valid = valid_text_rows(features).select(*INPUT_SOURCES)
+    columns = ("id", "label", *CATEGORY_FEATURES, *NUMERIC_FEATURES)
+    return stage(with_features(stage(valid, "model-rows"), **join).select(*columns), "model-input")

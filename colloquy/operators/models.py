@@ -80,14 +80,9 @@ class Trained:
         return feature_weights(self.predictions.sparkSession, self.model, self.slots)
 
 
-def model_input(base: DataFrame) -> DataFrame:
-    """The columns the models read, written once: fitting passes over them often."""
-    return stage(base.select("id", "label", *CATEGORY_FEATURES, *NUMERIC_FEATURES), "model-input")
-
-
 def train_models(base: DataFrame, names: Sequence[str] = (LOGISTIC, FOREST)) -> list[Trained]:
     """Fit on the training side and predict the test side, for each named model.
-    ``base`` is a written table, see :func:`model_input`."""
+    ``base`` is a written table: it is passed over often."""
     train, test = split(base)
     if LOGISTIC in names:
         train = with_class_weights(train)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +13,15 @@ from colloquy.schema import NEGATIVE_WORDS, POSITIVE_WORDS
 COMMENT_KEYS = (
     "id", "author", "subreddit", "controversiality", "score", "year", "month", "hour", "weekday",
 )
+COUNTS = ("positive_token_count", "negative_token_count", "token_count")
 SCALE = 10_000  # per-token scores are kept to four places
 
 
-def lexicon_flags(tokens: DataFrame, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS) -> DataFrame:
+def lexicon_flags(
+    tokens: DataFrame,
+    positive: Sequence[str] = POSITIVE_WORDS,
+    negative: Sequence[str] = NEGATIVE_WORDS,
+) -> DataFrame:
     """0/1 lexicon columns on term rows."""
     token = F.col("token")
     return tokens.withColumns(
@@ -42,36 +47,60 @@ def comment_sentiment(
     shuffle of the narrow per-comment rows and is not needed where ids are unique.
     """
     words = english_stop_words() if stop is None else stop
-    hits = {
-        "positive_token_count": lambda t: t.isin(*positive) & is_term(t, words),
-        "negative_token_count": lambda t: t.isin(*negative) & is_term(t, words),
-        "token_count": lambda t: is_term(t, words),
-    }
+    lexicon = {*positive, *negative}
+
+    def size(tokens: str, test: Callable[[Column], Column]) -> Column:
+        return F.size(F.filter(tokens, test)).cast("long")
+
     pieces = text_base.select(*keys, F.split(clean, " ").alias("pieces"))
-    counts = F.array(F.struct(*[F.size(F.filter("pieces", test)).cast("long").alias(n) for n, test in hits.items()]))
+    found = pieces.select(
+        *keys,
+        size("pieces", lambda t: is_term(t, words)).alias("terms"),
+        F.filter("pieces", lambda t: t.isin(*lexicon) & is_term(t, words)).alias("hits"),
+    )
+    counts = F.struct(
+        size("hits", lambda t: t.isin(*positive)).alias("positive_token_count"),
+        size("hits", lambda t: t.isin(*negative)).alias("negative_token_count"),
+        F.col("terms").alias("token_count"),
+    )
     # The generator computes the counts once; a plain filter on them would be
     # pushed below the projection and cost a second tokenisation.
-    counted = pieces.select(*keys, F.inline_outer(counts)).filter(F.col("token_count") > 0)
+    counted = found.select(*keys, F.inline_outer(F.array(counts))).filter(F.col("token_count") > 0)
     if merge_repeats:
-        counted = counted.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in hits])
+        counted = counted.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in COUNTS])
     score = F.col("positive_token_count") - F.col("negative_token_count")
     return counted.withColumn("sentiment_score", score).withColumn(
         "sentiment_score_per_token", F.round(F.col("sentiment_score") / F.col("token_count"), 4)
     )
 
 
-def sentiment_by(scored: DataFrame, dim: str) -> DataFrame:
-    """Mean sentiment per group. The per-token score is a multiple of 1/10000 and
-    is summed as a whole number, so the mean does not depend on the row order."""
+def sentiment_sums(scored: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Additive sentiment totals per group. Everything is a whole number, the
+    per-token score too (a multiple of 1/10000), so no total depends on row order."""
+    points = F.round(F.col("sentiment_score_per_token") * SCALE).cast("long")
+    return scored.groupBy(*dims).agg(
+        F.count("*").alias("comments"),
+        F.sum("positive_token_count").alias("positive"),
+        F.sum("negative_token_count").alias("negative"),
+        F.sum("sentiment_score").alias("score"),
+        F.sum(points).alias("points"),
+    )
 
-    def mean(name: str, dp: int = 2) -> Column:
-        return F.round(F.avg(name), dp)
 
-    points = F.round(F.col("sentiment_score_per_token") * SCALE).cast("long")
-    return scored.groupBy(dim).agg(
-        F.count("*").alias("total_comments"),
-        mean("positive_token_count").alias("avg_positive_tokens"),
-        mean("negative_token_count").alias("avg_negative_tokens"),
-        mean("sentiment_score").alias("avg_sentiment_score"),
-        F.round(F.sum(points) / F.count("*") / SCALE, 4).alias("avg_sentiment_score_per_token"),
+def sentiment_means(sums: DataFrame, dim: str) -> DataFrame:
+    """Mean sentiment per group from totals at that grain or a finer one."""
+
+    def mean(name: str, dp: int = 2, scale: int = 1) -> Column:
+        return F.round(F.sum(name) / F.sum("comments") / scale, dp)
+
+    return sums.groupBy(dim).agg(
+        F.sum("comments").alias("total_comments"),
+        mean("positive").alias("avg_positive_tokens"),
+        mean("negative").alias("avg_negative_tokens"),
+        mean("score").alias("avg_sentiment_score"),
+        mean("points", 4, SCALE).alias("avg_sentiment_score_per_token"),
     )
+
+
+def sentiment_by(scored: DataFrame, dim: str) -> DataFrame:
+    return sentiment_means(sentiment_sums(scored, [dim]), dim)

@@ -1,0 +1,196 @@
+"""Sentinels, NULLs, blanks, calendar edges and ties on hand-written frames."""
+
+from datetime import datetime, timezone
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from colloquy.functions.calendar import with_local_hour, with_time_parts, with_weekday_name, with_year_month
+from colloquy.operators import subsets, terms, users
+from colloquy.operators.evaluation import class_weights, confusion, confusion_summary, with_class_weights
+from colloquy.operators.model_base import community_features, model_base, user_features
+from colloquy.operators.rates import rate_by
+from colloquy.schema import COMMENT_SCHEMA
+
+
+def comment(id, author="a", subreddit="x", body="some words here", flag=0, at=1_700_000_000, score=1):
+    return (str(id), author, subreddit, body, flag, at, score, "t1", "p1")
+
+
+def features(spark, *items):
+    return subsets.feature_base(spark.createDataFrame(list(items), COMMENT_SCHEMA))
+
+
+def test_sentinels_and_nulls(spark):
+    df = features(
+        spark,
+        comment(1, body="[removed]"),
+        comment(2, body="[deleted]"),
+        comment(3, body=None),
+        comment(4, body=""),
+        comment(5, body="   "),
+        comment(6, author="[deleted]"),
+        comment(7, author=None),
+        comment(8),
+    )
+    flags = {r.id: (r.is_removed_or_deleted, r.is_deleted_author) for r in df.collect()}
+    assert flags == {
+        "1": (1, 0), "2": (1, 0), "3": (0, 0), "4": (0, 0), "5": (0, 0), "6": (0, 1), "7": (0, 0), "8": (0, 0),
+    }
+    counts = {r.metric: r.value for r in subsets.subset_row_counts(df).collect()}
+    assert counts == {"all_df": 8, "text_df": 6, "user_df": 7, "text_user_df": 5}
+    assert {r.id for r in subsets.valid_text_rows(df).collect()} == {"7", "8"}
+
+
+def test_word_counts(spark):
+    df = features(spark, comment(1, body=""), comment(2, body=" a b "), comment(3, body="a  b"), comment(4, body=None),
+                  comment(5, body="\tx\r\n\x0by"))
+    assert {r.id: r.body_length_words for r in df.collect()} == {"1": 1, "2": 4, "3": 2, "4": None, "5": 3}
+    split = df.select("id", F.size(F.split("body", r"\s+")).alias("n")).filter("body is not null")
+    assert {r.id: r.n for r in split.collect()} == {"1": 1, "2": 4, "3": 2, "5": 3}
+
+
+def epoch(*parts):
+    return int(datetime(*parts, tzinfo=timezone.utc).timestamp())
+
+
+def test_calendar(spark):
+    df = features(
+        spark,
+        comment(1, at=epoch(2024, 1, 7, 2, 30)),  # Sunday in UTC, Saturday evening in New York
+        comment(2, at=epoch(2024, 1, 6, 23, 59, 59)),  # Saturday
+        comment(3, at=epoch(2024, 3, 10, 6, 59)),  # last minute before summer time
+        comment(4, at=epoch(2024, 3, 10, 7, 0)),  # first minute of it
+        comment(5, at=epoch(2024, 11, 3, 5, 30)),  # 1:30 the first time
+        comment(6, at=epoch(2024, 11, 3, 6, 30)),  # 1:30 the second time
+    )
+    local = with_year_month(with_weekday_name(with_local_hour(df, "created_ts", "America/New_York")))
+    got = {r.id: (r.weekday, r.weekday_name, r.hour, r.hour_est, r.year_month) for r in local.collect()}
+    assert got["1"] == (1, "Sunday", 2, 21, "2024-01")
+    assert got["2"] == (7, "Saturday", 23, 18, "2024-01")
+    assert [got[i][3] for i in "3456"] == [1, 3, 1, 1]
+
+
+def test_session_zone_is_pinned_by_jobs(spark, sf_dir):
+    from checks import views
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    views.table(spark, sf_dir, "events")
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_weekday_out_of_range_is_unnamed(spark):
+    df = spark.createDataFrame([(0,), (8,), (None,), (3,)], "weekday int")
+    assert rows(with_weekday_name(df).select("weekday_name")) == [("Tuesday",), (None,), (None,), (None,)]
+
+
+def test_author_without_community_is_multi_in_reports_and_not_in_the_model(spark):
+    df = features(spark, comment(1, subreddit=None), comment(2, subreddit=None), comment(3, author="b"),
+                  comment(4, author="b", subreddit=None), comment(5, author="c"), comment(6, author="c", subreddit="y"))
+    types = {r.author: (r.distinct_subreddits, r.user_type) for r in users.user_profile(df).collect()}
+    assert types == {"a": (0, "multi_subreddit"), "b": (1, "single_subreddit"), "c": (2, "multi_subreddit")}
+    typed = users.typed_activity(users.author_activity(df))
+    assert {r.author: r.user_type for r in typed.collect()} == {a: t for a, (_, t) in types.items()}
+    assert {r.author: r.user_type for r in users.with_user_type(df).collect()} == {a: t for a, (_, t) in types.items()}
+    model = user_features(users.author_activity(df))
+    assert {r.author: r.is_multi_subreddit_user for r in model.collect()} == {"a": 0, "b": 0, "c": 1}
+
+
+def test_missing_author_is_a_user_but_not_a_typed_comment(spark):
+    df = features(spark, comment(1, author=None), comment(2, author=None, subreddit="y"), comment(3))
+    assert subsets.distinct_count(df, "author").first()[0] == 2
+    assert rows(users.user_type_counts(users.user_profile(df))) == [("multi_subreddit", 1), ("single_subreddit", 1)]
+    summary = users.user_type_comment_summary(users.typed_activity(users.author_activity(df)))
+    assert [(r.user_type, r.total_comments) for r in summary.collect()] == [("single_subreddit", 1)]
+    kept = {r.id: r.total_comments_per_user for r in model_base(df).collect()}
+    assert kept == {"1": None, "2": None, "3": 1}
+
+
+def test_model_base_columns(spark):
+    df = features(spark, comment(1, score=3, flag=1), comment(2, score=4, subreddit="y"), comment(3, author="b"))
+    row = {r.id: r for r in model_base(df).collect()}["1"]
+    assert len(row) == 26
+    assert (row.label, row.distinct_subreddits_per_user, row.avg_score_per_user_rounded) == (1, 2, 3.5)
+    assert (row.subreddit_total_comments, row.subreddit_controversy_rate_rounded) == (2, 0.5)
+    assert (row.log_body_length_words, row.is_multi_subreddit_user) == (1.3863, 1)
+
+
+def test_community_means_skip_missing_values(spark):
+    df = features(spark, comment(1, score=2, flag=None), comment(2, score=None, flag=1), comment(3, score=5, flag=0))
+    row = community_features(users.author_activity(df)).first()
+    assert (row.subreddit_total_comments, row.subreddit_avg_score, row.subreddit_controversy_rate) == (3, 3.5, 0.5)
+
+
+def test_rates(spark):
+    df = features(spark, *[comment(i, flag=int(i < 1)) for i in range(3)], comment(9, subreddit="y", flag=None))
+    got = {r.subreddit: (r.total_comments, r.controversial_comments, r.controversy_rate)
+           for r in rate_by(df, ["subreddit"]).collect()}
+    assert got == {"x": (3, 1, 0.3333), "y": (1, None, None)}
+
+
+def test_pairs(spark):
+    data = [("a", "x"), ("b", "x"), ("b", "y"), ("c", "x"), ("c", "y"), ("c", "z"), ("d", None), ("d", "z")]
+    got = rows(users.community_pairs(spark.createDataFrame(data, "author string, subreddit string")))
+    assert got == [("x", "y", 2), ("x", "z", 1), ("y", "z", 1)]
+
+
+def test_term_ties_go_by_count_then_alphabet(spark):
+    counts = spark.createDataFrame(
+        [("g", "beta", 3), ("g", "alpha", 3), ("g", "gamma", 9), ("h", "beta", 1)], "subreddit string, token string, count long"
+    )
+    top = [(r.subreddit, r.rank, r.token) for r in terms.top_terms(counts, "subreddit", 2).collect()]
+    assert top == [("g", 1, "gamma"), ("g", 2, "alpha"), ("h", 1, "beta")]
+
+
+def test_distinctive_ties_use_the_rounded_lift(spark):
+    # In group g all of a, b, c are exclusive: the same lift; count, then alphabet decide.
+    counts = spark.createDataFrame(
+        [("g", "b", 5), ("g", "a", 5), ("g", "c", 7), ("g", "rare", 1), ("h", "d", 18), (None, "a", 6)],
+        "subreddit string, token string, count long",
+    )
+    got = [(r.subreddit, r.rank, r.token, r.lift) for r in terms.distinctive_terms(counts, "subreddit", 5).collect()]
+    assert got == [
+        (None, 1, "a", None),
+        ("g", 1, "c", 2.3333), ("g", 2, "b", 2.3333), ("g", 3, "a", 1.0606),
+        ("h", 1, "d", 2.3333),
+    ]
+
+
+def test_confusion_without_positive_predictions(spark):
+    df = spark.createDataFrame([(0, 0.0), (0, 0.0), (1, 0.0)], "label int, prediction double")
+    row = confusion_summary(confusion(df), "m").first()
+    assert (row.true_negatives, row.false_positives, row.false_negatives, row.true_positives) == (2, 0, 1, 0)
+    assert (row.positive_precision, row.positive_recall, row.specificity) == (0.0, 0.0, 1.0)
+
+
+def test_class_weights(spark):
+    def weights(*labels):
+        df = spark.createDataFrame([(x,) for x in labels], "label int")
+        return {r.label: round(r.weight, 4) for r in class_weights(df).collect()}
+
+    assert weights(0, 1) == {0: 1.0, 1: 1.0}
+    assert weights(1, *[0] * 9) == {1: 5.0, 0: 0.5556}
+    assert weights(0, 0, 0) == {0: 0.6667, 1: 2.0}
+    df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "label int")
+    assert rows(with_class_weights(df)) == [(0, 2 / 3)] * 3 + [(1, 2.0)]
+
+
+def test_profiles(spark):
+    df = features(spark, comment(1, author=None, flag=None), comment(2), comment(3, body=None, flag=1))
+    assert subsets.null_profile(df, ["author", "body", "controversiality", "absent"]).first().asDict() == {
+        "author": 1, "body": 1, "controversiality": 1,
+    }
+    long = rows(subsets.distributions(df, ["controversiality", "is_deleted_author"]))
+    assert long == [("controversiality", 0, 1), ("controversiality", 1, 1), ("controversiality", None, 1),
+                    ("is_deleted_author", 0, 3)]
+
+
+def test_exact_median_of_lengths(spark):
+    df = features(spark, *[comment(i, body="x" * n) for i, n in enumerate([5, 1, 9, 3])], comment(7, body=None))
+    row = subsets.length_stats(df, "subreddit").first()
+    assert (row.total_comments, row.avg_body_length_chars, row.median_body_length_chars) == (5, 4.5, 3)
+
+
+def test_time_parts_of_plain_timestamps(spark):
+    df = spark.sql("select timestamp_ntz '2021-12-31 23:00:00' as created_ts")
+    assert tuple(with_time_parts(df).drop("created_ts").first()) == (2021, 12, 31, 23, 6)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import zipfile
 from collections.abc import Callable
 from functools import cache
@@ -22,7 +21,7 @@ from colloquy.operators.sentiment import comment_sentiment, sentiment_by
 from colloquy.schema import LOCAL_ZONE, NEGATIVE_WORDS, POSITIVE_WORDS
 from colloquy.sources.sinks import write_table
 from colloquy.sources.tables import query_view, read_table
-from colloquy.staging import stage, staging_root
+from colloquy.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,7 +98,7 @@ def _(spark, sf_dir):
 @query("roundtrip_feature_base", BASE + f"select {FEATURE_COLUMNS} from features")
 def _(spark, sf_dir):
     df = v.features(spark, sf_dir)
-    path = f"{staging_root(spark)}/feature_base-{uuid.uuid4().hex}"
+    path = new_path(spark, "feature_base")
     write_table(df, path, partition_by=("year", "month"))
     return plain_time(read_table(spark, path).select(*df.columns), "created_ts")
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 #   - "http" links up to the next white space,
 #   - "www." links up to the next white space or the start of an "http" link
 # becomes one space. The quantifiers are possessive: nothing follows the run, so
-# giving characters back is useless, and long runs cannot exhaust the stack.
-NOISE = r"(?:[^a-z0-9]++|http\S++|www\.(?:(?!http\S)\S)++)++"
+# giving characters back is useless, and long runs cannot exhaust the stack. The
+# look-ahead rules out most letters with a single test.
+NOISE = r"(?=[hw[^a-z0-9]])(?:[^a-z0-9]++|http\S++|www\.(?:(?!http\S)\S)++)++"
 
 MIN_TERM_LENGTH = 3
 

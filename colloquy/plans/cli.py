@@ -16,6 +16,7 @@ from colloquy.plans import reports, tables
 from colloquy.session import build_session
 from colloquy.sources.sinks import write_notes, write_summary_csv
 from colloquy.sources.tables import month_paths, read_files, read_table
+from colloquy.staging import scope
 
 TABLES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "filter": tables.build_filtered,
@@ -59,7 +60,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--min-count", type=int, default=500, help="threshold of distinctive terms")
     args = parser.parse_args(argv)
     spark = build_session(f"colloquy-{args.job}", args.master, object_store=args.object_store)
+    with scope(spark):
+        run(spark, args)
 
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job in TABLES:
         TABLES[args.job](spark, args.input, args.output)
     elif args.job == "list":

@@ -10,10 +10,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -29,8 +32,25 @@ def staging_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path nothing has been written to."""
+    return "/".join([staging_root(spark), *_scopes[-1:], f"{name}-{uuid.uuid4().hex}"])
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
-    path = f"{staging_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block when it ends: a job's frames must
+    be written out within it."""
+    _scopes.append(f"job-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{_scopes.pop()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

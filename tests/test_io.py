@@ -1,5 +1,7 @@
 """Sources, sinks and session settings."""
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -123,3 +125,13 @@ def test_a_written_table_repeats_no_work(spark):
     written = staging.stage(spark.range(100).mapInArrow(touch, "id long"), "touched")
     assert written.count() == 100 and written.agg(F.sum("id")).first()[0] == 4950
     assert seen.value == 100
+
+
+def test_a_scope_deletes_its_tables_and_no_others(spark):
+    outer = staging.stage(spark.range(3), "kept")
+    with staging.scope(spark):
+        inner = staging.stage(spark.range(5), "dropped")
+        files = [f.removeprefix("file://") for f in inner.inputFiles()]
+        assert inner.count() == 5 and all(Path(f).exists() for f in files)
+    assert files and not any(Path(f).exists() for f in files)
+    assert outer.count() == 3

@@ -19,8 +19,8 @@ from colloquy.operators.model_base import community_features, model_base, model_
 from colloquy.operators.rates import by_rate, rate_by
 from colloquy.operators.sentiment import comment_sentiment, sentiment_by
 from colloquy.schema import LOCAL_ZONE, NEGATIVE_WORDS, POSITIVE_WORDS
-from colloquy.sources.sinks import write_table
-from colloquy.sources.tables import query_view, read_table
+from colloquy.sources.sinks import write_summary_csv, write_table
+from colloquy.sources.tables import query_view, read_summary_csv, read_table
 from colloquy.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,17 @@ def _(spark, sf_dir):
     return subsets.distribution(v.features(spark, sf_dir), "controversiality")
 
 
+@query(
+    "label_distribution_by_subset",
+    BASE + " union all ".join(
+        f"select controversiality, '{k}' as subset, count(*) as count from features where {w} group by 1"
+        for k, w in SUBSET_WHERE.items()
+    ),
+)
+def _(spark, sf_dir):
+    return subsets.subset_group_counts(v.features(spark, sf_dir), "controversiality")
+
+
 FLAGS = ("is_removed_or_deleted", "is_deleted_author", "controversiality")
 
 
@@ -212,6 +223,14 @@ def _(spark, sf_dir):
     return by_rate(rate_by(v.features(spark, sf_dir), ["subreddit"]), "subreddit")
 
 
+@query("roundtrip_summary_csv", rate_sql("subreddit"))
+def _(spark, sf_dir):
+    path = new_path(spark, "summary")
+    frame = by_rate(rate_by(v.features(spark, sf_dir), ["subreddit"]), "subreddit")
+    write_summary_csv(frame, path)
+    return read_summary_csv(spark, path, frame.schema)
+
+
 @query("rate_by_month", rate_sql("year, month"))
 def _(spark, sf_dir):
     return rate_by(v.features(spark, sf_dir), ["year", "month"]).orderBy("year", "month")
@@ -522,6 +541,15 @@ def _(spark, sf_dir):
     return terms.term_share(counts)
 
 
+@query(
+    "group_term_totals",
+    lambda: TEXT.rstrip() + "," + tokens_cte("text_base", "subreddit")
+    + "\nselect subreddit, count(*) as group_total_tokens from tokens group by 1",
+)
+def _(spark, sf_dir):
+    return terms.group_totals(nlp_counts(spark, sf_dir, "subreddit"), "subreddit")
+
+
 def distinctive_sql(dim: str) -> Callable[[], str]:
     return lambda: (
         TEXT.rstrip() + "," + tokens_cte("text_base", dim) + f""",
@@ -666,6 +694,14 @@ def _(spark, sf_dir):
     return model_base(v.features(spark, sf_dir, nulls=True))
 
 
+@query(
+    "multi_community_user_distribution",
+    model_ctes() + "select is_multi_subreddit_user, count(*) as count from base group by 1",
+)
+def _(spark, sf_dir):
+    return subsets.distribution(model_base(v.features(spark, sf_dir)), "is_multi_subreddit_user")
+
+
 @query("split_counts", model_ctes() + "select side, label, count(*) as count from sides group by 1, 2")
 def _(spark, sf_dir):
     return evaluation.split_counts(labelled(spark, sf_dir))
@@ -714,6 +750,39 @@ def _(spark, sf_dir):
     return evaluation.confusion_summary(evaluation.confusion(rule_predictions(spark, sf_dir)), "rule")
 
 
+RULE_METRICS_SQL = f"""
+cells as (select label, prediction, count(*) as n from ({RULE_SQL}) group by 1, 2),
+classes as (
+  select a.label, support, hits / support as r, coalesce(hits / nullif(predicted, 0), 0) as p, hits
+  from (select label, sum(n) as support, sum(case when label = prediction then n else 0 end) as hits
+        from cells group by 1) a
+  left join (select prediction, sum(n) as predicted from cells group by 1) b on a.label = b.prediction
+),
+metrics as (
+  select round(sum(hits) / sum(support), 4) as accuracy,
+         round(sum(coalesce(2 * p * r / nullif(p + r, 0), 0) * support) / sum(support), 4) as f1,
+         round(sum(p * support) / sum(support), 4) as weighted_precision,
+         round(sum(r * support) / sum(support), 4) as weighted_recall
+  from classes
+)
+"""
+
+
+@query("rule_metrics", model_ctes().rstrip() + "," + RULE_METRICS_SQL + "select * from metrics")
+def _(spark, sf_dir):
+    return evaluation.classification_metrics(evaluation.confusion(rule_predictions(spark, sf_dir)))
+
+
+@query(
+    "rule_metrics_long",
+    model_ctes().rstrip() + "," + RULE_METRICS_SQL
+    + " union all ".join(f"select 'rule' as model, '{m}' as metric, {m} as value from metrics" for m in models.METRICS[1:]),
+)
+def _(spark, sf_dir):
+    one = evaluation.classification_metrics(evaluation.confusion(rule_predictions(spark, sf_dir)))
+    return models.metrics_long(one.withColumn("model", F.lit("rule")))
+
+
 def trained(spark, sf_dir, *names: str) -> list[models.Trained]:
     return models.train_models(model_input(v.features(spark, sf_dir)), names)
 

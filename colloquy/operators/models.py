@@ -106,7 +106,7 @@ def evaluate(predictions: DataFrame, name: str) -> DataFrame:
 
 def metrics_long(metrics: DataFrame) -> DataFrame:
     """One row per model and metric."""
-    return metrics.unpivot(["model"], list(METRICS), "metric", "value")
+    return metrics.unpivot(["model"], [m for m in METRICS if m in metrics.columns], "metric", "value")
 
 
 def slot_names(assembled: DataFrame) -> list[str]:

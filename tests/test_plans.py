@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from colloquy.operators import rates, subsets, terms, users
-from colloquy.plans import cli, reports, tables
+from colloquy.plans import cli, reports
 from colloquy.sources.tables import read_summary_csv
 
 MEMBERS = ["politics", "worldnews", "news", "conspiracy"]
@@ -29,7 +29,10 @@ def chain(spark, sf_dir, tmp_path_factory):
     at = F.timestamp_seconds("created_utc")
     layout = raw.withColumns({"yyyy": F.year(at), "mm": F.date_format(at, "MM")})
     layout.write.partitionBy("yyyy", "mm").parquet(f"{root}/raw")
-    run = lambda job, source, *more: cli.main([job, "--input", f"{root}/{source}", "--output", f"{root}/{job}", *more])
+
+    def run(job, source, *more):
+        cli.main([job, "--input", f"{root}/{source}", "--output", f"{root}/{job}", *more])
+
     run("list", "raw", "--year", "2024", "--months", "1")
     run("filter", "raw")
     run("explore", "filter")

@@ -136,7 +136,8 @@ def test_pairs(spark):
 
 def test_term_ties_go_by_count_then_alphabet(spark):
     counts = spark.createDataFrame(
-        [("g", "beta", 3), ("g", "alpha", 3), ("g", "gamma", 9), ("h", "beta", 1)], "subreddit string, token string, count long"
+        [("g", "beta", 3), ("g", "alpha", 3), ("g", "gamma", 9), ("h", "beta", 1)],
+        "subreddit string, token string, count long",
     )
     top = [(r.subreddit, r.rank, r.token) for r in terms.top_terms(counts, "subreddit", 2).collect()]
     assert top == [("g", 1, "gamma"), ("g", 2, "alpha"), ("h", 1, "beta")]

@@ -1,11 +1,12 @@
 """Exact duplicates by sorting the contents.
 
-Texts are normalised, dealt out by sampled splitters of (text, identifier) and sorted in each
-partition, which Spark does externally. Equal texts are then neighbours, and one pass that
-compares each text in full with the one before cuts the rows into runs. Identifiers are
-part of the splitters, so a group with a third of all rows is spread over a third of the
-partitions; runs that meet at a border of two partitions are joined by comparing the last text
-of one with the first of the next.
+Texts are normalised, dealt out by sampled splitters and sorted in each partition, which Spark
+does externally. Equal texts are then neighbours, and one pass that compares each text in full
+with the one before cuts the rows into runs. The splitters are the first bytes of the text, of
+its digest and the identifier: Spark gathers a sample of them on the driver, where whole texts
+would not fit. Identifiers are part of them, so a group with a third of all rows is spread over
+a third of the partitions; runs that meet at a border of two partitions are joined by comparing
+the last text of one with the first of the next.
 
 Only the sort moves texts. The pass writes one small row per document; the per-run summaries
 that decide who stays have one row per run and partition.
@@ -33,12 +34,13 @@ PLACES = T.StructType(
     [
         T.StructField("_part", T.IntegerType()),
         T.StructField("_run", T.LongType()),
-        # Position in the run, from the end that stays.
         T.StructField("_border", T.IntegerType()),
         T.StructField("_edge", T.BinaryType()),
     ]
 )
 FIRST, LAST = 1, 2
+# Bytes of the text, and digits of its digest, in a splitter.
+HEAD = 16
 
 
 def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest") -> DataFrame:
@@ -55,11 +57,13 @@ def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ke
 
     # The number of partitions follows the session, not adaptive merging, which counts bytes only.
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    digest = F.sha2("_body", 256)
+    head, mark = F.substring("_body", 1, HEAD), F.substring("text_sha256", 1, HEAD)
     ordered = (
         docs.select(*own, body.alias("_body"))
-        .repartitionByRange(slots, F.col("_body"), order)
-        .sortWithinPartitions(F.col("_body"), order)
-        .withColumn("text_sha256", F.sha2("_body", 256))
+        .withColumn("text_sha256", digest)
+        .repartitionByRange(slots, head, mark, order)
+        .sortWithinPartitions(head, mark, F.col("_body"), order)
     )
     fields = [ordered.schema[c] for c in [*own, "text_sha256"]]
     placed = stage(ordered.mapInArrow(_places([f.name for f in fields]), T.StructType(fields + PLACES.fields)), "content-sort")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import content_sort, lengths, piece_bpe
+from colloquy.llm import content_sort, lengths, pareto_mix, piece_bpe, redirects
 from colloquy.llm.common import read_table
 from colloquy.staging import stage
 
@@ -16,6 +16,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return pareto_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +50,11 @@ def digest_tokens(decoded: DataFrame) -> DataFrame:
     )
 
 
+def op9_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return redirects.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("text")
     counts = stage(lengths.histogram(lengths.with_length(docs, BYTE_BPE, PATTERN)), "lengths")
@@ -45,12 +62,120 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_pareto_mix": op3_pareto_mix,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_piece_bpe": op7_piece_bpe,
+    "op9_redirects": op9_redirects,
     "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
+    "op3_pareto_mix": r"""
+        with recursive sized as (
+          select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size
+          from documents
+        ), docs as (
+          select *, case when size > 0 then length(bin(size)) else 0 end + 8 as odds from sized
+        ), sources as (
+          select source, sum(size)::bigint as source_size,
+                 (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
+          from docs group by source
+        ), rounds as (  -- share out, stop the ones above their cap, share out again
+          select 0 as round, source, source_size, weight, false as stopped,
+                 (sum(source_size) over ())::double as free_words, (sum(weight) over ())::double as free_weight
+          from sources
+          union all
+          select round + 1, source, source_size, weight, stop,
+                 sum(source_size) over () - coalesce(sum(3 * source_size) filter (where stop) over (), 0),
+                 sum(weight) filter (where not stop) over ()
+          from (select *, stopped or weight * free_words / free_weight >= 3 * source_size as stop from rounds)
+          where round <= (select count(*) from sources)
+        ), targets as (
+          select source, source_size,
+                 case when stopped then (3 * source_size)::double else (weight * free_words) / free_weight end as target
+          from rounds where round = (select count(*) from sources)
+        ), bands as (
+          select source, odds, sum(size)::double as words from docs where size > 0 group by source, odds
+        ), tries as (
+          select b.source, b.odds,
+                 (t.target - 3 * coalesce((sum(words) over (partition by b.source order by odds desc rows between unbounded preceding and 1 preceding)), 0))
+                 / (sum(words * odds) over (partition by b.source order by odds rows between unbounded preceding and current row)) as try
+          from bands b join targets t on b.source is not distinct from t.source
+        ), scales as (
+          select source, coalesce(arg_max(try, odds) filter (where try * odds < 3), 3.0) as scale
+          from tries group by source
+        ), expected as (
+          select d.doc_id, d.source, d.size, t.source_size, t.target,
+                 case when d.size > 0 then least(3.0::double, s.scale * d.odds) else 0.0 end as e,
+                 (('0x' || substr(md5(coalesce(d.doc_id::varchar, '') || '/' || d.size::varchar), 1, 13))::bigint::double + 0.5) / 4503599627370496.0::double as u
+          from docs d join targets t on d.source is not distinct from t.source
+          left join scales s on d.source is not distinct from s.source
+        ), ranked as (
+          select *, floor(e) as sure, e - floor(e) as p,
+                 case when e > floor(e) then (u / (1 - u)) / ((e - floor(e)) / (1 - (e - floor(e)))) end as q
+          from expected
+        ), missing as (
+          select source, any_value(target) - sum(size * sure) as m from ranked group by source
+        ), running as (
+          select r.*, m.m,
+                 sum(case when p > 0 then size else 0 end) over (partition by r.source order by q / (1 + q) nulls last, doc_id, size) as until,
+                 sum(size) over (partition by r.source, q, doc_id, size) as own
+          from ranked r join missing m on r.source is not distinct from m.source
+        )
+        select doc_id, size, source_size, target,
+               (size * (sure + case when p > 0 and 2 * until - own <= 2 * m then 1 else 0 end))::bigint as taken
+        from running
+    """,
+    # Aliases come from canonical links and refresh redirects; the component of a page is
+    # what it reaches along them in either direction.
+    "op9_redirects": r"""
+        with recursive urls as (
+          select page_id, html, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+          from pages
+        ), split as (
+          select page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+          from urls
+        ), rules(rule, domain, start, verdict) as (
+          values ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+                 ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')
+        ), tags as (
+          select host, path, unnest(list_concat(
+                   list_transform(list_filter(regexp_extract_all(bare, '(?is)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')),
+                                  lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)),
+                   list_transform(list_filter(regexp_extract_all(bare, '(?is)<meta\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
+                                  lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>;]+)', 1)))) as target
+          from (select host, path, regexp_replace(html, '(?s)<!--.*?(-->|$)', '', 'g') as bare from split where host <> '')
+        ), whole as (
+          select host, path, case when contains(target, '://') then substr(target, strpos(target, '://') + 3)
+                                  when starts_with(target, '//') then substr(target, 3)
+                                  when starts_with(target, '/') then host || target
+                                  else host || case when contains(path, '/') then regexp_extract(path, '^(.*/)', 1) else '/' end || target end as rest
+          from tags where target <> ''
+        ), edges as (
+          select host || path as a,
+                 translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as b
+          from whole where rest <> ''
+        ), sides as (
+          select a, b from edges union select b, a from edges
+        ), reach as (
+          select a as node, a as seen from sides union select r.node, e.b from reach r join sides e on r.seen = e.a
+        ), parts as (
+          select node, regexp_extract(seen, '^([^/]*)', 1) as host, regexp_extract(seen, '^[^/]*(.*)', 1) as path from reach
+        ), ruled as (
+          select p.host, p.path, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
+          from (select distinct host, path from split union select distinct host, path from parts) p
+          join rules r on (p.host = domain or ends_with(p.host, '.' || domain)) and starts_with(p.path, start)
+          group by p.host, p.path
+        ), blocked as (
+          select distinct node from parts join ruled using (host, path) where verdict = 'block'
+        )
+        select s.page_id, s.host, s.path, r.rule,
+               coalesce(r.verdict, case when b.node is not null then 'block' end, 'allow') as verdict
+        from split s
+        left join ruled r on s.host = r.host and s.path = r.path
+        left join blocked b on s.host || s.path = b.node
+    """,
     "op4_exact_dedup": """
         with t as (
           select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body

@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import content_sort, lengths, pareto_mix, piece_bpe, redirects
+from colloquy.llm import content_sort, fertility, html_blocks, lengths, pareto_mix, piece_bpe, redirects
 from colloquy.llm.common import read_table
 from colloquy.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_BPE_MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 RULES = (
     ("allow", "com", "/"),
@@ -25,6 +27,16 @@ RULES = (
 )
 
 
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return fertility.judge(docs, PIECES, BYTE_BPE_MULTI, PATTERN).drop("lang")
+
+
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_blocks.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return pareto_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -62,6 +74,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fertility": op1_fertility,
+    "op2_html_blocks": op2_html_blocks,
     "op3_pareto_mix": op3_pareto_mix,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_piece_bpe": op7_piece_bpe,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import content_sort, fertility, html_blocks, lengths, pareto_mix, piece_bpe, redirects
+from colloquy.llm import content_sort, fertility, html_blocks, lengths, pareto_mix, partition_join, piece_bpe, redirects
 from colloquy.llm.common import read_table
 from colloquy.staging import stage
 
@@ -47,6 +47,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_duplicates(docs, keep="largest").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return partition_join.components(docs)
+
+
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = piece_bpe.encode(docs, BYTE_BPE, PATTERN)
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op2_html_blocks": op2_html_blocks,
     "op3_pareto_mix": op3_pareto_mix,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_partition_join": op5_partition_join,
     "op7_piece_bpe": op7_piece_bpe,
     "op9_redirects": op9_redirects,
     "op10_token_counts": op10_token_counts,
@@ -202,4 +208,26 @@ SQL: dict[str, str] = {
                sha256(body) as text_sha256
         from t
     """,
+    "op5_partition_join": r"""
+        with recursive worded as (
+          select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+          from documents
+        ), shingles as (
+          select distinct doc_id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+                                         else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+          from worded where len(w) > 0
+        ), sizes as (
+          select doc_id, count(*) as n from shingles group by doc_id
+        ), shared as (
+          select a.doc_id as a, b.doc_id as b, count(*) as c
+          from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+        ), links as (
+          select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+        ), reach as (
+          select doc_id, doc_id as other from documents union select r.doc_id, l.b from reach r join links l on r.other = l.a
+        )
+        select d.doc_id, coalesce(any_value(z.n), 0)::bigint as n_shingles, min(r.other) as component_id
+        from documents d join reach r using (doc_id) left join sizes z using (doc_id)
+        group by d.doc_id
+    """,
 }

@@ -100,3 +100,13 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts of a batch, null as the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+# Rows of a few numbers each that may be broadcast: some tens of megabytes.
+BROADCAST_ROWS = 500_000
+
+
+def bounded(rows: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it is small enough; beyond that
+    Spark joins by shuffling."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows

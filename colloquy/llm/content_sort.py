@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.llm.common import ascii_lower, small_batches, without
+from colloquy.llm.common import ascii_lower, small_batches, texts, without
 from colloquy.staging import stage
 
 # What the pass over sorted texts gives for each row.
@@ -43,30 +43,31 @@ FIRST, LAST = 1, 2
 HEAD = 16
 
 
-def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest") -> DataFrame:
-    """``docs`` without its text, with ``keep_id`` (of the row that stays), ``group_size``,
-    ``kept`` and ``text_sha256`` of the normalised text. Columns of ``docs`` called so are replaced."""
+def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest", keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``keep_id`` (of the row that stays), ``group_size``, ``kept`` and ``text_sha256``
+    of the normalised text, without the text unless ``keep_text``. Columns of ``docs`` called so
+    are replaced."""
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep: {keep}")
     spark = docs.sparkSession
     small_batches(spark)
     added = ["keep_id", "group_size", "kept", "text_sha256"]
-    own = [c for c in without(docs, added) if c.lower() != text.lower()]
-    body = F.encode(ascii_lower(F.coalesce(F.col(text), F.lit(""))), "UTF-8")
+    own = [c for c in without(docs, added) if keep_text or c.lower() != text.lower()]
+    body = ascii_lower(F.coalesce(F.col(text), F.lit("")))
     order = F.col(key).asc_nulls_last() if keep == "smallest" else F.col(key).desc_nulls_last()
 
     # The number of partitions follows the session, not adaptive merging, which counts bytes only.
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    digest = F.sha2("_body", 256)
-    head, mark = F.substring("_body", 1, HEAD), F.substring("text_sha256", 1, HEAD)
+    head, mark = F.substring(F.encode(body, "UTF-8"), 1, HEAD), F.substring("text_sha256", 1, HEAD)
     ordered = (
-        docs.select(*own, body.alias("_body"))
-        .withColumn("text_sha256", digest)
+        docs.select(*own, *([] if keep_text else [text]))
+        .withColumn("text_sha256", F.sha2(body, 256))
         .repartitionByRange(slots, head, mark, order)
-        .sortWithinPartitions(head, mark, F.col("_body"), order)
+        .sortWithinPartitions(head, mark, F.encode(body, "UTF-8"), order)
     )
     fields = [ordered.schema[c] for c in [*own, "text_sha256"]]
-    placed = stage(ordered.mapInArrow(_places([f.name for f in fields]), T.StructType(fields + PLACES.fields)), "content-sort")
+    pass_over = _places([f.name for f in fields], text)
+    placed = stage(ordered.mapInArrow(pass_over, T.StructType(fields + PLACES.fields)), "content-sort")
 
     best = F.min(key) if keep == "smallest" else F.max(key)
     runs = placed.groupBy("_part", "_run").agg(best.alias("_best"), F.count(F.lit(1)).alias("_n"))
@@ -94,7 +95,7 @@ def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ke
     )
 
 
-def _places(names: list[str]):
+def _places(names: list[str], text: str):
     """Cut the sorted rows of a partition into runs of equal texts. ``_border`` marks the first
     row of a run; ``_edge`` holds the text of the first and the last row of the partition."""
 
@@ -104,11 +105,12 @@ def _places(names: list[str]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bodies = batch.column("_body")
+            # Bytes lower-case A-Z alone.
+            bodies = [t.encode().lower() for t in texts(batch, text)]
             numbers, borders, edges = [], [], [None] * batch.num_rows
             if before is None:
-                edges[0] = bodies[0].as_py()
-            for body in bodies.to_pylist():
+                edges[0] = bodies[0]
+            for body in bodies:
                 new = body != before
                 number += new
                 numbers.append(number)

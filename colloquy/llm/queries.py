@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import content_sort, fertility, html_blocks, lengths, pareto_mix, partition_join, piece_bpe, redirects
+from colloquy.llm import content_sort, fertility, html_blocks, lengths, pareto_mix, partition_join, piece_bpe, redirects, span_crf, toxicity
 from colloquy.llm.common import read_table
 from colloquy.staging import stage
 
@@ -52,6 +52,12 @@ def op5_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_join.components(docs)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = piece_bpe.encode(docs, BYTE_BPE, PATTERN)
@@ -67,6 +73,20 @@ def digest_tokens(decoded: DataFrame) -> DataFrame:
     )
 
 
+def op8_span_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = span_crf.find(docs)
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = map(count, span_crf.BASE_KINDS)
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op9_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return redirects.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -84,7 +104,9 @@ QUERIES: dict[str, Query] = {
     "op3_pareto_mix": op3_pareto_mix,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_partition_join": op5_partition_join,
+    "op6_toxicity": op6_toxicity,
     "op7_piece_bpe": op7_piece_bpe,
+    "op8_span_crf": op8_span_crf,
     "op9_redirects": op9_redirects,
     "op10_token_counts": op10_token_counts,
 }

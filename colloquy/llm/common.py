@@ -58,6 +58,15 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in drop]
 
 
+def shield(df: DataFrame, known: Sequence[str], replaced: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but ``known`` under names that no operator uses, without those in
+    ``replaced``, and a function that gives the names back."""
+    extra = [c for c in without(df, replaced) if c not in known]
+    hidden = {f"extra {i}": c for i, c in enumerate(extra)}
+    named = [F.col("`" + c.replace("`", "``") + "`").alias(h) for h, c in hidden.items()]
+    return df.select(*known, *named), lambda result: result.withColumnsRenamed(hidden)
+
+
 def append_columns(
     df: DataFrame,
     fields: Sequence[T.StructField],

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.llm.common import ascii_lower, small_batches, texts, without
+from colloquy.llm.common import ascii_lower, shield, small_batches, texts, without
 from colloquy.staging import stage
 
 # What the pass over sorted texts gives for each row.
@@ -51,8 +51,8 @@ def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ke
         raise ValueError(f"keep: {keep}")
     spark = docs.sparkSession
     small_batches(spark)
-    added = ["keep_id", "group_size", "kept", "text_sha256"]
-    own = [c for c in without(docs, added) if keep_text or c.lower() != text.lower()]
+    docs, restore = shield(docs, [key, text], ["keep_id", "group_size", "kept", "text_sha256"])
+    own = docs.columns if keep_text else without(docs, [text])
     body = ascii_lower(F.coalesce(F.col(text), F.lit("")))
     order = F.col(key).asc_nulls_last() if keep == "smallest" else F.col(key).desc_nulls_last()
 
@@ -90,9 +90,8 @@ def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ke
         ((F.col("_part") == F.col("_home_part")) & (F.col("_run") == F.col("_home_run"))).alias("_leads"),
     )
     first_of_run = F.col("_border").bitwiseAND(FIRST) != 0
-    return placed.join(decided, ["_part", "_run"]).select(
-        *own, "keep_id", "group_size", (F.col("_leads") & first_of_run).alias("kept"), "text_sha256"
-    )
+    kept = F.col("_leads") & first_of_run
+    return restore(placed.join(decided, ["_part", "_run"]).select(*own, "keep_id", "group_size", kept.alias("kept"), "text_sha256"))
 
 
 def _places(names: list[str], text: str):

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import without, word_count
+from colloquy.llm.common import shield, without, word_count
 from colloquy.operators.keyed_join import attach_by_key
 from colloquy.staging import stage
 
@@ -39,8 +39,8 @@ CELLS = 256
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: Sequence[int] = WEIGHTS) -> DataFrame:
     """``docs`` without its text, with ``size``, ``source_size``, ``target`` (of its source),
     ``copies`` and ``taken`` = copies x size. Columns of ``docs`` called so are replaced."""
-    added = ["size", "source_size", "target", "copies", "taken"]
-    own = [c for c in without(docs, added) if c.lower() != text.lower()]
+    docs, restore = shield(docs, [key, source, text], ["size", "source_size", "target", "copies", "taken"])
+    own = without(docs, [text])
     # A name for each source that is never null, for joins.
     name = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
     sized = stage(docs.select(*own, word_count(F.col(text)).alias("size"), name.alias("_source")), "sizes")
@@ -67,9 +67,8 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     )
     drawn = F.col("_rank").isNotNull() & F.coalesce(drawn, F.lit(False))
     copies = (F.col("_whole") + drawn.cast("long")).cast("long")
-    return attach_by_key(ranked.drop("_rows", "_missing"), cuts, "_source", "_rows", spread_by=(key, "size")).select(
-        *own, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
-    )
+    cut = attach_by_key(ranked.drop("_rows", "_missing"), cuts, "_source", "_rows", spread_by=(key, "size"))
+    return restore(cut.select(*own, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")))
 
 
 def source_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:

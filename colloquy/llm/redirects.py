@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import ascii_lower, without
+from colloquy.llm.common import ascii_lower, shield, without
 from colloquy.llm.components import connected_components
 from colloquy.staging import stage
 
@@ -122,18 +122,16 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
         edges = edges.unionByName(redirects.select(*[_node(_rest(F.col(c))).alias(n) for c, n in (("source", "a"), ("target", "b"))]))
     edges = stage(edges.distinct(), "alias-edges").filter((F.col("a") != "") & (F.col("b") != "") & (F.col("a") != F.col("b")))
 
-    own = [c for c in without(pages, ["host", "path", "rule", "verdict"]) if c.lower() != html.lower()]
+    pages, restore = shield(pages, [url, html], ["host", "path", "rule", "verdict"])
+    own = without(pages, [html])
     judged = with_rule(pages.select(*own, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")), rules)
     if edges.isEmpty():
-        return judged.select(*own, "host", "path", "rule", F.coalesce("_verdict", F.lit("allow")).alias("verdict"))
+        return restore(judged.select(*own, "host", "path", "rule", F.coalesce("_verdict", F.lit("allow")).alias("verdict")))
 
     members = connected_components(edges)
     at = F.concat(F.lit("x://"), F.col("node"))
     known = with_rule(members.withColumn("host", host_of(at)).withColumn("path", path_of(at)), rules)
     blocked = known.filter(F.col("_verdict") == "block").select("component").distinct()
     aliases = members.join(blocked, "component", "left_semi").select(F.col("node").alias("_node"), F.lit("block").alias("_alias"))
-    return (
-        judged.withColumn("_node", F.concat("host", "path"))
-        .join(aliases, "_node", "left")
-        .select(*own, "host", "path", "rule", F.coalesce("_verdict", "_alias", F.lit("allow")).alias("verdict"))
-    )
+    verdict = F.coalesce("_verdict", "_alias", F.lit("allow")).alias("verdict")
+    return restore(judged.withColumn("_node", F.concat("host", "path")).join(aliases, "_node", "left").select(*own, "host", "path", "rule", verdict))

@@ -35,7 +35,8 @@ def with_local_hour(df: DataFrame, ts: str, zone: str, out: str = "hour_est") ->
 def weekday_name(weekday: str | Column) -> Column:
     """English name of a 1 = Sunday weekday number; NULL outside 1..7."""
     names = F.array(*[F.lit(d) for d in ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")])
-    return F.try_element_at(names, F.nullif(F.col(weekday) if isinstance(weekday, str) else weekday, F.lit(0)))
+    number = F.col(weekday) if isinstance(weekday, str) else weekday
+    return F.get(names, number - 1)
 
 
 def with_weekday_name(df: DataFrame, weekday: str = "weekday", out: str = "weekday_name") -> DataFrame:

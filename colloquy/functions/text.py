@@ -27,10 +27,10 @@ def clean_text(body: str | Column) -> Column:
 
 
 def word_count(body: str | Column) -> Column:
-    """Pieces between white space, one more than its runs: an empty string is one
-    piece, and white space at either end adds an empty one. Counting the runs
-    spares building the pieces."""
-    return F.regexp_count(body, F.lit(r"\s+")) + 1
+    """Pieces between white space: an empty string is one piece, and white space at either
+    end adds an empty one. NULL for NULL."""
+    text = F.col(body) if isinstance(body, str) else body
+    return F.when(text.isNotNull(), F.size(F.split(text, r"\s+", -1)))
 
 
 def clean_word_count(clean: str | Column) -> Column:

@@ -45,16 +45,18 @@ def _weight_row(c: int) -> Column:
     return F.struct(F.lit(c).alias("label"), rows.alias("rows"), weight.alias("weight"))
 
 
-def with_class_weights(train: DataFrame, out: str = "classWeightCol") -> DataFrame:
-    """Rows labelled 1 get that class's weight, all others the weight of class 0.
+def with_class_weights(rows: DataFrame, out: str = "classWeightCol", train: bool = True) -> DataFrame:
+    """Rows labelled 1 get that class's weight, all others the weight of class 0; test rows weigh 1.
     The two weights are one scalar subquery; nothing comes back to the driver."""
+    if not train:
+        return rows.withColumn(out, F.lit(1.0))
 
     def of(c: int) -> Column:
         return F.max(F.when(F.col("label") == c, F.col("weight"))).alias(f"w{c}")
 
-    pair = class_weights(train).agg(of(0), of(1)).select(F.struct("w0", "w1")).scalar()
+    pair = class_weights(rows).agg(of(0), of(1)).select(F.struct("w0", "w1")).scalar()
     weight = F.when(F.col("label") == 1, pair.getField("w1")).otherwise(pair.getField("w0"))
-    return train.withColumn(out, weight)
+    return rows.withColumn(out, weight)
 
 
 def confusion(predictions: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.numbers import log_feature
+from colloquy.operators.evaluation import split
 from colloquy.operators.keyed_join import attach_by_key
 from colloquy.operators.subsets import valid_text_rows
 from colloquy.operators.users import author_activity, mean_of, multi_community_flag
@@ -64,14 +65,22 @@ def with_model_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def with_features(valid: DataFrame, **join) -> DataFrame:
+def feature_rows(valid: DataFrame, features_from: str = "all") -> DataFrame:
+    """The rows that user and community features are made from: all of them, as published, or
+    the training side alone, which keeps the test side's labels out of its features."""
+    if features_from not in ("all", "train"):
+        raise ValueError(f"features_from: {features_from}")
+    return valid if features_from == "all" else split(valid)[0]
+
+
+def with_features(valid: DataFrame, features_from: str = "all", **join) -> DataFrame:
     """Valid rows with both feature tables and the model columns.
 
     Activity is aggregated and written once; both feature tables come from it.
     ``join`` goes to :func:`attach_by_key`. Comments without an author or community
-    keep NULL features.
+    keep NULL features, and so do, from the training side, those it does not know.
     """
-    activity = stage(author_activity(valid), "model-activity")
+    activity = stage(author_activity(feature_rows(valid, features_from)), "model-activity")
     users = stage(user_features(activity), "user-features")
     communities = stage(community_features(activity), "community-features")
     joined = attach_by_key(valid, users, "author", "total_comments_per_user", "left", **join)
@@ -79,14 +88,14 @@ def with_features(valid: DataFrame, **join) -> DataFrame:
     return with_model_columns(joined)
 
 
-def model_base(features: DataFrame, **join) -> DataFrame:
+def model_base(features: DataFrame, features_from: str = "all", **join) -> DataFrame:
     """The full model table, bodies included."""
-    return with_features(valid_text_rows(features), **join).select(*MODEL_BASE_COLUMNS)
+    return with_features(valid_text_rows(features), features_from, **join).select(*MODEL_BASE_COLUMNS)
 
 
-def model_input(features: DataFrame, **join) -> DataFrame:
+def model_input(features: DataFrame, features_from: str = "all", **join) -> DataFrame:
     """The columns the models read, as a written table: fitting passes over them
     often. Bodies are read once, to find the valid rows, and never shuffled."""
     valid = valid_text_rows(features).select(*INPUT_SOURCES)
     columns = ("id", "label", *CATEGORY_FEATURES, *NUMERIC_FEATURES)
-    return stage(with_features(stage(valid, "model-rows"), **join).select(*columns), "model-input")
+    return stage(with_features(stage(valid, "model-rows"), features_from, **join).select(*columns), "model-input")

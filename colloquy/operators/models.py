@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -41,18 +41,31 @@ def feature_stages(
     return [index, one_hot, assemble]
 
 
-def fit_lr(train: DataFrame) -> PipelineModel:
-    """Ridge logistic regression; ``train`` carries the class weights."""
-    lr = LogisticRegression(
+def fill_inputs(rows: DataFrame) -> DataFrame:
+    """Model inputs without gaps. A numeric feature that is absent, as those of a comment
+    without an author, counts as 0: no history. An absent category becomes a value of its
+    own in the index. Labels stay as they are."""
+    numbers = {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).cast(t) for c, t in rows.dtypes if c in NUMERIC_FEATURES}
+    return rows.withColumns(numbers)
+
+
+def fitted_index(rows: DataFrame, column: str) -> DataFrame:
+    """The category index a model learns from ``rows``: ``value`` and its ``position``, the most
+    frequent first, then by the alphabet."""
+    labels = StringIndexer(inputCol=column, outputCol="position", handleInvalid="keep").fit(rows).labels
+    return rows.sparkSession.createDataFrame(list(enumerate(labels)), "position int, value string")
+
+
+def fit_lr(train: DataFrame) -> Model:
+    """Ridge logistic regression over assembled features; ``train`` carries the class weights."""
+    return LogisticRegression(
         labelCol="label", weightCol="classWeightCol", maxIter=30, regParam=0.01, elasticNetParam=0.0
-    )
-    return Pipeline(stages=[*feature_stages(), lr]).fit(train)
+    ).fit(train)
 
 
-def fit_rf(train: DataFrame) -> PipelineModel:
-    """Unweighted forest."""
-    rf = RandomForestClassifier(labelCol="label", numTrees=50, maxDepth=8, seed=42)
-    return Pipeline(stages=[*feature_stages(), rf]).fit(train)
+def fit_rf(train: DataFrame) -> Model:
+    """Unweighted forest over assembled features."""
+    return RandomForestClassifier(labelCol="label", numTrees=50, maxDepth=8, seed=42).fit(train)
 
 
 FITTERS = {LOGISTIC: fit_lr, FOREST: fit_rf}
@@ -82,26 +95,36 @@ class Trained:
 
 def train_models(base: DataFrame, names: Sequence[str] = (LOGISTIC, FOREST)) -> list[Trained]:
     """Fit on the training side and predict the test side, for each named model.
-    ``base`` is a written table: it is passed over often."""
-    train, test = split(base)
-    if LOGISTIC in names:
-        train = with_class_weights(train)
+    ``base`` is a written table: it is passed over often. Absent inputs are filled by
+    :func:`fill_inputs`; rows without a label are neither fitted nor judged."""
+    train, test = split(fill_inputs(base.filter(F.col("label").isNotNull())))
+    # Index and slots are the same for all models: they are fitted once, and both sides written with them.
+    shared = Pipeline(stages=feature_stages()).fit(train)
+    train = stage(shared.transform(with_class_weights(train)).select("label", "classWeightCol", "features"), "train-side")
+    test = stage(shared.transform(with_class_weights(test, train=False)).select("id", "label", "classWeightCol", "features"), "test-side")
+    slots = slot_names(shared.transform(base.limit(0).transform(fill_inputs)))
     trained = []
     for name in names:
-        model = FITTERS[name](train)
-        predicted = model.transform(test)
+        model = PipelineModel([*shared.stages, FITTERS[name](train)])
+        predicted = model.stages[-1].transform(test)
         written = stage(predicted.select("label", "rawPrediction", "prediction"), "predictions")
-        trained.append(Trained(name, model, slot_names(predicted), written))
+        trained.append(Trained(name, model, slots, written))
     return trained
 
 
+def roc_area(predictions: DataFrame) -> float:
+    """Area under the whole ROC curve, every different score a point of it."""
+    evaluator = BinaryClassificationEvaluator(
+        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0
+    )
+    return round(float(evaluator.evaluate(predictions)), 4)
+
+
 def evaluate(predictions: DataFrame, name: str) -> DataFrame:
     """One metric row: area under the ROC curve plus the confusion-based metrics."""
-    auc = BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"
-    ).evaluate(predictions)
+    auc = roc_area(predictions)
     rest = classification_metrics(confusion(predictions))
-    return rest.select(F.lit(name).alias("model"), F.lit(round(float(auc), 4)).alias("auc_roc"), *METRICS[1:])
+    return rest.select(F.lit(name).alias("model"), F.lit(auc).alias("auc_roc"), *METRICS[1:])
 
 
 def metrics_long(metrics: DataFrame) -> DataFrame:

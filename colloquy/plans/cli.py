@@ -25,6 +25,8 @@ TABLES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "model-base": tables.build_model_base,
 }
 REPORTS: dict[str, Callable[[DataFrame], reports.Frames]] = {
+    "filter-checks": reports.filter_report,
+    "feature-checks": reports.feature_report,
     "explore": reports.explore_report,
     "subsets": reports.subset_report,
     "time": reports.time_report,
@@ -37,6 +39,10 @@ REPORTS: dict[str, Callable[[DataFrame], reports.Frames]] = {
 }
 
 
+# Frames that grow with the number of communities, not with the report.
+GROWING = ("subreddits", "subreddit_pair_counts")
+
+
 def write_report(frames: reports.Frames, out: str) -> None:
     """One CSV per frame; (metric, value) frames become ``name: value`` notes.
     Each frame's own sort keys order its file."""
@@ -45,7 +51,7 @@ def write_report(frames: reports.Frames, out: str) -> None:
         if frame.columns == ["metric", "value"]:
             write_notes(frame, path)
         else:
-            write_summary_csv(frame, path)
+            write_summary_csv(frame, path, one_file=name not in GROWING)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -58,6 +64,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--year", type=int, help="year of the list and trips jobs")
     parser.add_argument("--months", type=int, nargs="+", help="months of the list (first one) and trips jobs")
     parser.add_argument("--min-count", type=int, default=500, help="threshold of distinctive terms")
+    parser.add_argument("--features", help="feature table, for the notes of the text-base-checks and model-base-checks jobs")
+    parser.add_argument("--text-base", help="cleaned-text table, which spares the text job the cleaning")
+    parser.add_argument("--features-from", choices=("all", "train"), default="all", help="rows behind the features of the model-base job")
     args = parser.parse_args(argv)
     spark = build_session(f"colloquy-{args.job}", args.master, object_store=args.object_store)
     with scope(spark):
@@ -66,7 +75,8 @@ def main(argv: list[str] | None = None) -> None:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job in TABLES:
-        TABLES[args.job](spark, args.input, args.output)
+        options = {"features_from": args.features_from} if args.job == "model-base" else {}
+        TABLES[args.job](spark, args.input, args.output, **options)
     elif args.job == "list":
         month = (args.months or [1])[0]
         write_report({"subreddits": tables.list_communities(spark, args.input, args.year or 2024, month)}, args.output)
@@ -77,6 +87,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         report = REPORTS[args.job]
         options = {"min_count": args.min_count} if args.job == "nlp" else {}
+        if args.features and args.job in ("text-base-checks", "model-base-checks"):
+            options["features"] = read_table(spark, args.features)
+        if args.text_base and args.job == "text":
+            options["text_base"] = read_table(spark, args.text_base)
         write_report(report(read_table(spark, args.input), **options), args.output)
 
 

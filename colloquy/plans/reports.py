@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.calendar import with_local_hour, with_weekday_name
-from colloquy.functions.text import clean_text, explode_tokens
-from colloquy.operators import models, rates, subsets, terms, users
+from colloquy.functions.text import clean_text, explode_tokens, tokens_of
+from colloquy.operators import evaluation, models, rates, subsets, terms, users
 from colloquy.operators.sentiment import comment_sentiment, sentiment_means, sentiment_sums
 from colloquy.operators.trips import TAXI_COLUMNS, daily_rollup, daily_summary
 from colloquy.schema import CATEGORY_FEATURES, LOCAL_ZONE, NUMERIC_FEATURES
@@ -96,13 +96,42 @@ def community_report(features: DataFrame) -> Frames:
     }
 
 
-def text_report(features: DataFrame) -> Frames:
-    """Body lengths and common terms. Terms are exploded once, at the grain of all
-    three rankings."""
+def notes(df: DataFrame, entries: dict[str, Column]) -> DataFrame:
+    """(metric, value) lines from one pass over ``df``."""
+    one = df.agg(*[value.cast("string").alias(name) for name, value in entries.items()])
+    return one.unpivot([], list(entries), "metric", "value")
+
+
+def filter_report(filtered: DataFrame) -> Frames:
+    """What the filter kept: rows per community, most active first."""
+    return {"subreddit_counts": subsets.group_counts(filtered, "subreddit")}
+
+
+def feature_report(features: DataFrame) -> Frames:
+    """Checks on the feature table: rows, flags and a sample."""
+    flags = ("is_removed_or_deleted", "is_deleted_author", "controversiality")
+    shown = ("author", "subreddit", "controversiality", "score", "year", "month", "hour", "body_length_chars", "body_length_words", *flags[:2], "body")
+    return {
+        "row_count": subsets.row_count(features),
+        "flag_distributions": subsets.distributions(features, flags),
+        "sample": preview(features, shown),
+    }
+
+
+def text_report(features: DataFrame, text_base: DataFrame | None = None) -> Frames:
+    """Body lengths and common terms. Terms are made before any join and exploded once, at
+    the grain of all three rankings. The bodies of ``text_base`` are clean already; rows it
+    leaves out have no terms, but their authors still count towards the user types."""
     rows = subsets.subset(features, "text_user").filter(F.col("author").isNotNull())
     dims = ["controversiality", "subreddit", "user_type"]
-    labelled = users.with_user_type(rows.select("id", "author", "subreddit", "controversiality", "body"))
-    tokens = explode_tokens(labelled.withColumn("body_clean", clean_text("body")), dims)
+    if text_base is None:
+        source = rows.withColumn("body_clean", clean_text("body"))
+    else:
+        source = text_base.filter(F.col("author").isNotNull())
+    types = stage(users.user_types(rows), "user-types")
+    termed = source.select("id", "author", "subreddit", "controversiality", tokens_of("body_clean").alias("terms"))
+    labelled = users.with_user_type(termed.filter(F.size("terms") > 0), types)
+    tokens = labelled.select(*dims, F.explode("terms").alias("token"))
     counts = stage(terms.term_counts(tokens, dims), "term-counts")
 
     def top(dim: str) -> DataFrame:
@@ -118,9 +147,17 @@ def text_report(features: DataFrame) -> Frames:
     }
 
 
-def text_base_report(text_base: DataFrame) -> Frames:
-    """Checks on the cleaned-text table."""
-    return {
+def base_notes(base: DataFrame, features: DataFrame, name: str) -> DataFrame:
+    """Rows of the feature table, of its valid part and of the table made from that."""
+    valid = subsets.in_subset("text_user") & (F.length(F.trim("body")) > 0)
+    made = notes(base, {f"{name}_rows": F.count("*")})
+    return notes(features, {"feature_base_rows": F.count("*"), "valid_rows": F.count_if(valid)}).unionByName(made)
+
+
+def text_base_report(text_base: DataFrame, features: DataFrame | None = None) -> Frames:
+    """Checks on the cleaned-text table, with notes where the feature table is given."""
+    found = {} if features is None else {"notes": base_notes(text_base, features, "text_base")}
+    return found | {
         "subreddit_counts": subsets.group_counts(text_base, "subreddit"),
         "controversiality_distribution": subsets.distribution(text_base, "controversiality"),
         "avg_clean_text_length_by_subreddit": subsets.clean_length_by(text_base, "subreddit"),
@@ -137,17 +174,20 @@ def nlp_report(text_base: DataFrame, min_count: int = 500, n: int = 20) -> Frame
         rolled = stage(terms.roll_up_terms(counts, [dim]), f"term-counts-{dim}")
         return terms.distinctive_terms(rolled, dim, min_count, n)
 
-    return {
+    found = {
         "sentiment_by_controversy": sentiment_means(sums, "controversiality").orderBy("controversiality"),
         "sentiment_by_subreddit": sentiment_means(sums, "subreddit").orderBy(F.desc("total_comments"), "subreddit"),
         "top_distinctive_terms_by_controversy": distinctive("controversiality"),
         "top_distinctive_terms_by_subreddit": distinctive("subreddit"),
     }
+    totals = notes(sums, {"comments_with_terms": F.sum("comments")}).unionByName(notes(counts, {"terms": F.sum("count")}))
+    return found | {"notes": totals}
 
 
-def model_base_report(base: DataFrame) -> Frames:
-    """Checks on the model table."""
-    return {
+def model_base_report(base: DataFrame, features: DataFrame | None = None) -> Frames:
+    """Checks on the model table, with notes where the feature table is given."""
+    found = {} if features is None else {"notes": base_notes(base, features, "model_base")}
+    return found | {
         "label_distribution": subsets.distribution(base, "label"),
         "subreddit_distribution": subsets.group_counts(base, "subreddit"),
         "multi_subreddit_user_distribution": subsets.distribution(base, "is_multi_subreddit_user"),
@@ -157,9 +197,16 @@ def model_base_report(base: DataFrame) -> Frames:
 def model_report(base: DataFrame) -> Frames:
     """Fit both classifiers on a stored model table and report on the test side."""
     columns = ("id", "label", *CATEGORY_FEATURES, *NUMERIC_FEATURES)
-    lr, rf = models.train_models(stage(base.select(*columns), "model-input"))
-    metrics = lr.metrics().unionByName(rf.metrics())
+    rows = stage(base.select(*columns), "model-input")
+    lr, rf = models.train_models(rows)
+    metrics = stage(lr.metrics().unionByName(rf.metrics()), "model-metrics")
+    labelled = rows.filter(F.col("label").isNotNull())
+    lines = notes(rows, {"rows": F.count("*"), "rows_without_label": F.count_if(F.col("label").isNull())})
+    scores = models.metrics_long(metrics).select(F.concat_ws(" ", "model", "metric").alias("metric"), F.col("value").cast("string").alias("value"))
     return {
+        "notes": lines.unionByName(scores),
+        "split_counts": evaluation.split_counts(labelled),
+        "class_weights": evaluation.class_weights(evaluation.split(labelled)[0]),
         "model_metrics": metrics,
         "model_metrics_long": models.metrics_long(metrics),
         "confusion_summary": lr.summary().unionByName(rf.summary()),

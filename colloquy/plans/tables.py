@@ -24,7 +24,11 @@ def list_communities(spark: SparkSession, raw: str, yyyy: int, mm: int) -> DataF
 def build_filtered(spark: SparkSession, raw: str, out: str, members: Sequence[str] = SELECTED_COMMUNITIES) -> DataFrame:
     """Comments of the chosen communities, in the raw layout."""
     kept = filter_members(read_table(spark, raw), "subreddit", members)
-    write_table(kept, out, [c for c in ("yyyy", "mm") if c in kept.columns])
+    layout = [c for c in ("yyyy", "mm") if c in kept.columns]
+    # A few communities leave a few rows of every input split: they are gathered by month,
+    # in files of the size adaptive execution aims at, large months in several.
+    kept = kept.hint("rebalance", *layout) if layout else kept.hint("rebalance")
+    write_table(kept, out, layout)
     return read_table(spark, out)
 
 
@@ -42,7 +46,7 @@ def build_text_base(spark: SparkSession, features: str, out: str) -> DataFrame:
     return read_table(spark, out)
 
 
-def build_model_base(spark: SparkSession, features: str, out: str) -> DataFrame:
+def build_model_base(spark: SparkSession, features: str, out: str, features_from: str = "all") -> DataFrame:
     pin_utc(spark)
-    write_table(model_base(read_table(spark, features)), out)
+    write_table(model_base(read_table(spark, features), features_from), out)
     return read_table(spark, out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Raw comments, stored under yyyy=/mm= folders.
+# Raw comments, stored under yyyy=/mm= folders.
 COMMENT_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -52,7 +52,7 @@ NEGATIVE_WORDS = (
     "violence", "terror", "terrorist", "crime", "illegal", "attack", "attacks",
 )
 
-# Column order of the cleaned-text table.
+# Column order of the cleaned-text table.
 TEXT_BASE_COLUMNS = (
     "id", "author", "subreddit", "controversiality", "score",
     "created_utc", "created_ts_utc", "year", "month", "day", "hour", "weekday",
@@ -60,7 +60,7 @@ TEXT_BASE_COLUMNS = (
     "clean_char_count", "clean_word_count",
 )
 
-# Column order of the model table.
+# Column order of the model table.
 MODEL_BASE_COLUMNS = (
     "id", "author", "subreddit", "body", "label", "controversiality", "score_rounded",
     "year", "month", "day", "hour", "weekday",

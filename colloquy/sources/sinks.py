@@ -17,10 +17,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer.parquet(path)
 
 
-def write_summary_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header, for report-sized frames. Reports end in a sort,
-    so only the sorted result runs as one task, and it stays in order."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_summary_csv(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """A CSV with a header: one file for frames of a fixed size, or part files for frames that
+    grow with the data. Reports end in a sort, and part files in the order of their
+    names keep it; only a single file runs as one task."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_notes(notes: DataFrame, path: str) -> None:

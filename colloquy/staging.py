@@ -6,30 +6,20 @@ It goes to the folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
 _scopes: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return f"{configured.rstrip('/')}/colloquy/{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="colloquy-")
-        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
-    return _local_roots[app]
+    return f"{configured.rstrip('/')}/colloquy/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

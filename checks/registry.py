@@ -8,6 +8,8 @@ from functools import cache
 from pathlib import Path
 
 from pyspark.find_spark_home import _find_spark_home
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +17,12 @@ from checks import views as v
 from colloquy.functions.calendar import with_local_hour, with_time_parts, with_weekday_name, with_year_month
 from colloquy.functions.text import clean_text, explode_tokens, tokens_of
 from colloquy.operators import evaluation, models, subsets, terms, trips, users
-from colloquy.operators.model_base import community_features, model_base, model_input, user_features
+from colloquy.operators.model_base import community_features, feature_rows, model_base, model_input, user_features
 from colloquy.operators.rates import by_rate, rate_by
 from colloquy.operators.sentiment import comment_sentiment, sentiment_by
-from colloquy.schema import LOCAL_ZONE, NEGATIVE_WORDS, POSITIVE_WORDS
-from colloquy.sources.sinks import write_summary_csv, write_table
-from colloquy.sources.tables import query_view, read_summary_csv, read_table
+from colloquy.schema import LOCAL_ZONE, NEGATIVE_WORDS, NUMERIC_FEATURES, POSITIVE_WORDS
+from colloquy.sources.sinks import preview, schema_report, write_summary_csv, write_table
+from colloquy.sources.tables import month_paths, query_view, read_files, read_month, read_summary_csv, read_table
 from colloquy.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,6 +210,71 @@ def _(spark, sf_dir):
     return events.filter(F.col("event_id") % 2 == 0).select((F.col("event_id") * 2).alias("doubled"))
 
 
+# --- scans ------------------------------------------------------------------------
+
+ORDER_MONTHS = """select o_orderkey, o_orderpriority from orders
+  where year(o_orderdate) = 1996 and month(o_orderdate) {which}"""
+
+
+def order_months(spark, sf_dir) -> DataFrame:
+    return v.table(spark, sf_dir, "orders").withColumns({"yyyy": F.year("o_orderdate"), "mm": F.month("o_orderdate")})
+
+
+@query("scan_one_month", ORDER_MONTHS.format(which="= 3"))
+def _(spark, sf_dir):
+    path = new_path(spark, "months")
+    write_table(order_months(spark, sf_dir), path, ("yyyy", "mm"))
+    return read_month(spark, path, 1996, 3).select("o_orderkey", "o_orderpriority")
+
+
+def order_files(spark, sf_dir) -> str:
+    """One folder per year and month, named like monthly files."""
+    root = new_path(spark, "files")
+    parts = order_months(spark, sf_dir).filter("yyyy = 1996 and mm in (2, 3, 5)")
+    for month in (2, 3, 5):
+        (path,) = month_paths(root, 1996, [month], "orders")
+        write_table(parts.filter(F.col("mm") == month).drop("yyyy", "mm"), path)
+    return root
+
+
+@query("scan_month_list", ORDER_MONTHS.format(which="in (2, 5)"))
+def _(spark, sf_dir):
+    root = order_files(spark, sf_dir)
+    return read_files(spark, *month_paths(root, 1996, [2, 5], "orders")).select("o_orderkey", "o_orderpriority")
+
+
+@query("scan_glob", ORDER_MONTHS.format(which="in (2, 3, 5)"))
+def _(spark, sf_dir):
+    root = order_files(spark, sf_dir)
+    return read_table(spark, f"{root}/yyyy=1996/orders_1996-*.parquet").select("o_orderkey", "o_orderpriority")
+
+
+@query("row_count", "select count(*) as rows from documents")
+def _(spark, sf_dir):
+    return subsets.row_count(v.table(spark, sf_dir, "documents"))
+
+
+# The limit is the preview itself; a missing column is left out.
+@query(
+    "preview_documents",
+    """select doc_id, lang, case when length(text) > 40 then substr(text, 1, 37) || '...' else text end as text
+       from documents order by doc_id limit 10""",
+)
+def _(spark, sf_dir):
+    docs = v.table(spark, sf_dir, "documents").orderBy("doc_id")
+    return preview(docs, ("doc_id", "no_such_column", "lang", "text"), 10, 40)
+
+
+@query(
+    "schema_of_documents",
+    """select cast(ordinal_position - 1 as int) as position, column_name as "column",
+         case data_type when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string' else lower(data_type) end as type, true as nullable
+       from information_schema.columns where table_name = 'documents'""",
+)
+def _(spark, sf_dir):
+    return schema_report(v.table(spark, sf_dir, "documents"))
+
+
 # --- rates ------------------------------------------------------------------------
 
 
@@ -512,8 +579,15 @@ def _(spark, sf_dir):
 
 @query("top_terms_by_user_type", top_sql("user_type"))
 def _(spark, sf_dir):
-    rows = users.with_user_type(text_users(spark, sf_dir).select("id", "author", "subreddit", "body"))
-    return terms.top_terms(spoken_counts(rows, "user_type"), "user_type")
+    rows = text_users(spark, sf_dir)
+    types = stage(users.user_types(rows), "user-types")
+    return terms.top_terms(terms.term_counts(typed_terms(rows, types), ["user_type"]), "user_type")
+
+
+def typed_terms(rows: DataFrame, types: DataFrame, **join) -> DataFrame:
+    """Terms with their author's type; terms, not bodies, meet the types."""
+    termed = rows.select("id", "author", "subreddit", tokens_of(clean_text("body")).alias("terms"))
+    return users.with_user_type(termed, types, **join).select("user_type", F.explode("terms").alias("token"))
 
 
 def nlp_counts(spark, sf_dir, dim: str) -> DataFrame:
@@ -537,8 +611,8 @@ select token, count(*) as overall_count, count(*) / (select count(*) from tokens
 from tokens group by 1""",
 )
 def _(spark, sf_dir):
-    counts = stage(nlp_counts(spark, sf_dir, "subreddit"), "term-counts")
-    return terms.term_share(counts)
+    tokens = explode_tokens(text_base(spark, sf_dir), [])
+    return terms.term_share(stage(terms.term_counts(tokens, []), "term-counts"))
 
 
 @query(
@@ -547,7 +621,8 @@ def _(spark, sf_dir):
     + "\nselect subreddit, count(*) as group_total_tokens from tokens group by 1",
 )
 def _(spark, sf_dir):
-    return terms.group_totals(nlp_counts(spark, sf_dir, "subreddit"), "subreddit")
+    found = text_base(spark, sf_dir).select("subreddit", F.size(tokens_of("body_clean")).alias("count"))
+    return terms.group_totals(found.filter("count > 0"), "subreddit")
 
 
 def distinctive_sql(dim: str) -> Callable[[], str]:
@@ -681,7 +756,80 @@ def _(spark, sf_dir):
 
 @query("ml_community_features", model_ctes() + "select * from by_community")
 def _(spark, sf_dir):
-    return community_features(valid_activity(spark, sf_dir))
+    return community_features(users.community_activity(subsets.valid_text_rows(v.features(spark, sf_dir))))
+
+
+TRAIN_SQL = "cast('0x' || substr(md5(concat('42:', id)), 1, 8) as bigint) % 10000 < 8000"
+
+
+@query(
+    "ml_user_features_train",
+    model_ctes() + f"""select author, count(distinct subreddit) as distinct_subreddits_per_user, count(*) as total_comments_per_user,
+      avg(score) as avg_score_per_user, cast(sum(controversiality) as bigint) as total_controversial_comments_per_user,
+      case when count(distinct subreddit) > 1 then 1 else 0 end as is_multi_subreddit_user
+      from valid where {TRAIN_SQL} group by author""",
+)
+def _(spark, sf_dir):
+    return user_features(users.author_activity(feature_rows(subsets.valid_text_rows(v.features(spark, sf_dir)), "train")))
+
+
+FILLED = ", ".join(f"coalesce({c}, 0) as {c}" for c in NUMERIC_FEATURES)
+
+
+@query("model_input_nulls", model_ctes(nulls=True) + f"select id, label, subreddit, {FILLED} from base")
+def _(spark, sf_dir):
+    return models.fill_inputs(model_input(v.features(spark, sf_dir, nulls=True)))
+
+
+@query(
+    "category_index",
+    model_ctes() + """select cast(row_number() over (order by count(*) desc, subreddit) - 1 as int) as position, subreddit as value
+      from base join sides using (id) where side = 'train' group by subreddit""",
+)
+def _(spark, sf_dir):
+    train, _test = evaluation.split(labelled(spark, sf_dir))
+    return models.fitted_index(train, "subreddit")
+
+
+SLOTS_SQL = """,
+known as (select subreddit, row_number() over (order by count(*) desc, subreddit) - 1 as position
+          from base join sides using (id) where side = 'train' group by subreddit)
+select b.id, cast(k.position as int) as category_slot, b.score_rounded as score_value,
+       b.hour as hour_value, b.total_comments_per_user as user_comments_value
+from base b join known k on b.subreddit = k.subreddit"""
+
+
+@query("slot_values", lambda: model_ctes().rstrip() + SLOTS_SQL)
+def _(spark, sf_dir):
+    base = stage(model_input(v.features(spark, sf_dir)), "slots")
+    train, _test = evaluation.split(base)
+    assembled = Pipeline(stages=models.feature_stages()).fit(train).transform(models.fill_inputs(base))
+    slots = models.slot_names(assembled)
+    values = vector_to_array("features")
+    width = len(slots) - len(NUMERIC_FEATURES)
+
+    def number(name: str):
+        return F.get(values, F.lit(slots.index(name))).cast("long")
+
+    return assembled.select(
+        "id",
+        (F.array_position(F.slice(values, 1, width), 1.0) - 1).cast("int").alias("category_slot"),
+        number("score_rounded").alias("score_value"),
+        number("hour").alias("hour_value"),
+        number("total_comments_per_user").alias("user_comments_value"),
+    )
+
+
+@query(
+    "rule_roc_area",
+    model_ctes().rstrip() + """,
+ranked as (select controversiality as label, rank() over (order by body_length_words) + (count(*) over (partition by body_length_words) - 1) / 2.0 as r from valid)
+select round((sum(r) filter (where label = 1) - count(*) filter (where label = 1) * (count(*) filter (where label = 1) + 1) / 2.0)
+       / (count(*) filter (where label = 1) * count(*) filter (where label = 0)), 4) as auc_roc from ranked""",
+)
+def _(spark, sf_dir):
+    scored = labelled(spark, sf_dir).select("label", F.col("body_length_words").cast("double").alias("rawPrediction"))
+    return spark.createDataFrame([(models.roc_area(stage(scored, "scores")),)], "auc_roc double")
 
 
 @query("ml_model_base", model_ctes() + "select * from base")
@@ -783,6 +931,47 @@ def _(spark, sf_dir):
     return models.metrics_long(one.withColumn("model", F.lit("rule")))
 
 
+def rule_metrics_of(limit: int) -> str:
+    return RULE_METRICS_SQL.replace("body_length_words > 300", f"body_length_words > {limit}")
+
+
+@query(
+    "rule_metrics_stacked",
+    " union all ".join(
+        f"select * from ({model_ctes().rstrip()}, {rule_metrics_of(limit)} select 'longer than {limit}' as model, metrics.* from metrics)" for limit in (100, 300)
+    ),
+)
+def _(spark, sf_dir):
+    rows = labelled(spark, sf_dir)
+    found = []
+    for limit in (100, 300):
+        rule = F.when(F.col("body_length_words") > limit, 1.0).otherwise(0.0)
+        counts = evaluation.confusion(rows.select("label", rule.alias("prediction")))
+        found.append(evaluation.classification_metrics(counts).select(F.lit(f"longer than {limit}").alias("model"), "*"))
+    return found[0].unionByName(found[1])
+
+
+# What is known of fitted models without their values: slot names, the rows they judge, sums.
+@query(
+    "fitted_model_checks",
+    model_ctes() + f"""select 'Logistic Regression' as model, (select count(distinct subreddit) from base join sides using (id) where side = 'train') + {len(NUMERIC_FEATURES)} as slots,
+      count(*) filter (where label = 0) as test_rows_0, count(*) filter (where label = 1) as test_rows_1, cast(null as double) as importance
+      from sides where side = 'test'
+      union all select 'Random Forest', (select count(distinct subreddit) from base join sides using (id) where side = 'train') + {len(NUMERIC_FEATURES)},
+      count(*) filter (where label = 0), count(*) filter (where label = 1), 1.0 from sides where side = 'test'""",
+)
+def _(spark, sf_dir):
+    found = None
+    for model in trained(spark, sf_dir, models.LOGISTIC, models.FOREST):
+        weights = model.weights()
+        of = F.round(F.sum("importance"), 6) if "importance" in weights.columns else F.lit(None).cast("double")
+        one = weights.agg(F.lit(model.name).alias("model"), F.count("*").alias("slots"), of.alias("importance"))
+        rows = [F.coalesce(F.sum(F.when(F.col("label") == c, F.col("count"))), F.lit(0)).alias(f"test_rows_{c}") for c in (0, 1)]
+        one = one.crossJoin(F.broadcast(model.confusion().agg(*rows)))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def trained(spark, sf_dir, *names: str) -> list[models.Trained]:
     return models.train_models(model_input(v.features(spark, sf_dir)), names)
 

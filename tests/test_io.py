@@ -109,11 +109,19 @@ class _Cluster:
             return None
 
 
-def test_a_cluster_without_shared_folder_is_refused():
+def test_a_session_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.staging_root(_Cluster())
 
 
+def test_growing_summaries_are_ordered_part_files(spark, tmp_path):
+    frame = spark.range(1000).repartition(5).orderBy(F.desc("id"))
+    sinks.write_summary_csv(frame, str(tmp_path / "many"), one_file=False)
+    parts = sorted(p for p in (tmp_path / "many").iterdir() if p.name.startswith("part-"))
+    found = [int(line) for p in parts for line in p.read_text().splitlines() if line != "id"]
+    assert len(parts) > 0 and found == list(range(999, -1, -1))
+
+
 def test_a_written_table_repeats_no_work(spark):
     seen = spark.sparkContext.accumulator(0)
 

@@ -86,3 +86,44 @@ def test_long_metrics(trained):
 def test_unknown_community_keeps_its_row(spark, trained, base):
     strange = base.limit(1).withColumn("subreddit", F.lit("never seen"))
     assert trained[0].model.transform(strange).count() == 1
+
+
+def test_models_fit_on_comments_with_gaps(spark, sf_dir):
+    """Authors, communities and labels are missing; rows without a label are left out."""
+    base = model_input(views.features(spark, sf_dir, nulls=True))
+    gaps = base.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("label", "subreddit", "total_comments_per_user")]).first()
+    assert all(gaps)
+    for t in models.train_models(base):
+        _, test = evaluation.split(base.filter("label is not null"))
+        assert t.confusion().agg(F.sum("count")).first()[0] == test.count()
+
+
+def test_unknown_features_option(spark, sf_dir):
+    features = views.features(spark, sf_dir)
+    train_only = model_input(features, "train")
+    _, test = evaluation.split(train_only)
+    known = evaluation.split(train_only)[0].agg(F.count_if(F.col("total_comments_per_user").isNull())).first()[0]
+    assert known == 0 and test.filter("total_comments_per_user is null").count() > 0
+    with pytest.raises(ValueError, match="features_from"):
+        model_input(features, "test")
+
+
+def test_roc_area_uses_every_score(spark):
+    """Many different scores: the down-sampled curve would differ."""
+    rows = spark.range(20000).select((F.pmod(F.hash("id"), F.lit(3)) == 0).cast("int").alias("label"), F.col("id").cast("double").alias("rawPrediction"))
+    rows = rows.withColumn("rawPrediction", F.col("rawPrediction") + 4000 * F.col("label"))
+    collected = sorted(((r.rawPrediction, r.label) for r in rows.collect()))
+    below, wins, ties = 0, 0.0, {}
+    for score, label in collected:
+        ties.setdefault(score, [0, 0])[label] += 1
+    for score in sorted(ties):
+        negative, positive = ties[score]
+        wins += positive * (below + negative / 2)
+        below += negative
+    positives = sum(label for _, label in collected)
+    assert models.roc_area(rows) == pytest.approx(wins / (positives * below), abs=6e-5)
+
+
+def test_test_rows_weigh_one(base):
+    _, test = evaluation.split(base)
+    assert {r[0] for r in evaluation.with_class_weights(test, train=False).select("classWeightCol").distinct().collect()} == {1.0}

@@ -118,3 +118,31 @@ def test_views_differ_from_each_other_only_by_nulls(spark, sf_dir):
     assert sizes == {"all_df": 1000, "text_df": 884, "user_df": 961, "text_user_df": 845}
     assert subsets.valid_text_rows(views.features(spark, sf_dir)).count() == 817
     assert views.features(spark, sf_dir).agg(F.sum("controversiality")).first()[0] == 92
+
+
+def test_terms_are_not_dealt_out_by_group(spark, text_base):
+    counts = stage(terms.term_counts(explode_tokens(text_base, ["controversiality"]), ["controversiality"]), "counts")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(terms.distinctive_terms(counts, "controversiality", 5))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    before_rank = text[: text.index("(1) Scan")]
+    assert "BroadcastHashJoin" in before_rank
+    # The totals and the ranking are the only exchanges on the group; both are reduced before.
+    grouped = re.findall(r"Arguments: hashpartitioning\(controversiality#\d+, \d+\)", text)
+    assert len(grouped) <= 2
+
+
+def test_bodies_are_cleaned_below_the_author_exchange(spark, sf_dir):
+    rows = registry.text_users(spark, sf_dir)
+    types = stage(users.user_types(rows), "types")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = registry.typed_terms(rows, types, broadcast_limit=0)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = text.index("Join")
+    assert "regexp_replace" not in text[:joins] and "regexp_replace" in text[joins:]

@@ -39,9 +39,11 @@ def chain(spark, sf_dir, tmp_path_factory):
     run("features", "filter")
     for job in ("subsets", "time", "communities", "text", "text-base", "model-base"):
         run(job, "features")
-    run("text-base-checks", "text-base")
+    run("filter-checks", "filter")
+    run("feature-checks", "features")
+    run("text-base-checks", "text-base", "--features", f"{root}/features")
     run("nlp", "text-base", "--min-count", "5")
-    run("model-base-checks", "model-base")
+    run("model-base-checks", "model-base", "--features", f"{root}/features")
     run("models", "model-base")
     return root
 
@@ -81,14 +83,18 @@ def test_every_summary_file_exists(chain):
         "text": ["text_length_by_controversy", "text_length_by_subreddit", "top_terms_by_controversy",
                  "top_terms_by_subreddit", "top_terms_by_user_type"],
         "nlp": ["sentiment_by_controversy", "sentiment_by_subreddit", "top_distinctive_terms_by_controversy",
-                "top_distinctive_terms_by_subreddit"],
-        "models": ["model_metrics", "logreg_confusion_counts", "rf_confusion_counts", "logreg_feature_coefficients",
+                "top_distinctive_terms_by_subreddit", "notes"],
+        "filter-checks": ["subreddit_counts"],
+        "feature-checks": ["row_count", "flag_distributions", "sample"],
+        "text-base-checks": ["notes", "avg_clean_text_length_by_subreddit"],
+        "model-base-checks": ["notes", "label_distribution"],
+        "models": ["notes", "split_counts", "class_weights", "model_metrics", "logreg_confusion_counts", "rf_confusion_counts", "logreg_feature_coefficients",
                    "rf_feature_importances", "confusion_summary"],
     }
     for job, names in expected.items():
         for name in names:
             parts = [p for p in Path(chain, job, name).iterdir() if p.name.startswith("part-")]
-            assert len(parts) == 1, (job, name)
+            assert len(parts) == 1 or name in cli.GROWING, (job, name)
 
 
 def test_summary_files_keep_their_order(spark, chain):
@@ -104,6 +110,34 @@ def test_notes(chain):
     assert [line.split(": ")[0] for line in lines] == ["all_df", "text_df", "user_df", "text_user_df"]
 
 
+def read_notes(path) -> dict:
+    part = next(p for p in path.iterdir() if p.name.startswith("part-"))
+    return dict(line.split(": ") for line in part.read_text().splitlines())
+
+
+def test_notes_of_tables_and_models(spark, chain):
+    rows_of = {name: spark.read.parquet(f"{chain}/{name}").count() for name in ("features", "text-base", "model-base")}
+    text, model = read_notes(chain / "text-base-checks/notes"), read_notes(chain / "model-base-checks/notes")
+    assert int(text["feature_base_rows"]) == rows_of["features"] and int(text["text_base_rows"]) == rows_of["text-base"]
+    assert int(text["valid_rows"]) == int(model["model_base_rows"]) == rows_of["model-base"]
+    fitted = read_notes(chain / "models/notes")
+    assert int(fitted["rows"]) == rows_of["model-base"] and int(fitted["rows_without_label"]) == 0
+    assert 0.5 < float(fitted["Random Forest auc_roc"]) <= 1
+
+
+def test_text_job_on_clean_text_gives_the_same(spark, chain, features):
+    base = spark.read.parquet(f"{chain}/text-base")
+    direct, stored = reports.text_report(features), reports.text_report(features, base)
+    for name in direct:
+        assert rows(direct[name]) == rows(stored[name]), name
+
+
+def test_filter_writes_few_files(spark, chain):
+    for month in (chain / "filter/yyyy=2024").iterdir():
+        if month.is_dir():
+            assert len([p for p in month.iterdir() if p.name.startswith("part-")]) == 1
+
+
 @pytest.fixture(scope="module")
 def features(spark, chain):
     return spark.read.parquet(f"{chain}/features")

@@ -5,11 +5,13 @@ from datetime import datetime, timezone
 from conftest import rows
 from pyspark.sql import functions as F
 
-from colloquy.functions.calendar import with_local_hour, with_time_parts, with_weekday_name, with_year_month
+from colloquy.functions.calendar import weekday_name, with_local_hour, with_time_parts, with_weekday_name, with_year_month
 from colloquy.operators import subsets, terms, users
 from colloquy.operators.evaluation import class_weights, confusion, confusion_summary, with_class_weights
 from colloquy.operators.model_base import community_features, model_base, user_features
 from colloquy.operators.rates import rate_by
+from colloquy.operators.trips import daily_summary
+from colloquy.operators.users import community_pairs
 from colloquy.schema import COMMENT_SCHEMA
 
 
@@ -195,3 +197,34 @@ def test_exact_median_of_lengths(spark):
 def test_time_parts_of_plain_timestamps(spark):
     df = spark.sql("select timestamp_ntz '2021-12-31 23:00:00' as created_ts")
     assert tuple(with_time_parts(df).drop("created_ts").first()) == (2021, 12, 31, 23, 6)
+
+
+def test_daily_percentile_does_not_depend_on_partitions(spark):
+    trips_of_a_day = spark.range(400_000).select(
+        F.lit("1997-03-01 10:00:00").cast("timestamp_ntz").alias("t"), F.pmod(F.xxhash64("id"), F.lit(1_000_003)).cast("double").alias("fare"),
+        F.lit(1.0).alias("x"),
+    )
+    columns = dict.fromkeys(("distance", "tax", "tip", "passengers"), "x") | {"pickup": "t", "fare": "fare"}
+    fares = sorted(r.fare for r in trips_of_a_day.select("fare").collect())
+    for parts in (1, 7, 40):
+        row = daily_summary(trips_of_a_day.repartition(parts), 1997, columns).first()
+        assert (row.num_trips, row.q95_fare_amount) == (400_000, fares[380_000 - 1])
+
+
+def test_daily_summary_of_missing_values(spark):
+    rows = [(None, 1.0, None), (3.0, None, 2.0), (5.0, None, None)]
+    df = spark.createDataFrame(rows, "fare double, distance double, passengers double").withColumn("t", F.lit("1997-03-01").cast("timestamp_ntz"))
+    row = daily_summary(df, 1997, {"pickup": "t", "fare": "fare", "distance": "distance", "tax": "distance", "tip": "fare", "passengers": "passengers"}).first()
+    assert (row.num_trips, row.q95_fare_amount, row.mean_trip_distance, row.mean_passenger_count) == (3, 5.0, 1.0, 2)
+
+
+def test_weekday_names_need_a_weekday(spark):
+    days = spark.createDataFrame([(d,) for d in (-1, 0, 1, 7, 8, None)], "d int")
+    assert [r[0] for r in days.select(weekday_name("d")).collect()] == [None, None, "Sunday", "Saturday", None, None]
+
+
+def test_pairs_of_one_author_are_formed_by_many_tasks(spark):
+    pairs = spark.range(300).select(F.lit("a").alias("author"), F.format_string("c%03d", "id").alias("subreddit"))
+    found = community_pairs(pairs)
+    assert found.count() == 300 * 299 // 2
+    assert "REPARTITION_BY_COL" in found._jdf.queryExecution().toString()

@@ -6,7 +6,10 @@
 from __future__ import annotations
 
 import argparse
+import atexit
 import math
+import shutil
+import tempfile
 import time
 from datetime import date, datetime
 from decimal import Decimal
@@ -83,8 +86,9 @@ def main() -> None:
     spark = build_session(
         "compare", "local[8]",
         {"spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.sql.shuffle.partitions": "8",
-         "spark.ui.showConsoleProgress": "false"},
+         "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="colloquy-compare-")},
     )
+    atexit.register(shutil.rmtree, spark.conf.get("spark.checkpoint.dir"), ignore_errors=True)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     for name in args.names or registry.QUERIES:

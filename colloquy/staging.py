@@ -6,20 +6,37 @@ It goes to the folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 _scopes: list[str] = []
+_roots: set[str] = set()
 
 
 def staging_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{configured.rstrip('/')}/colloquy/{spark.sparkContext.applicationId}"
+    root = f"{configured.rstrip('/')}/colloquy/{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        _roots.add(root)
+        atexit.register(_delete_at_exit, spark, root)
+    return root
+
+
+def _delete_at_exit(spark: SparkSession, root: str) -> None:
+    """What queries have staged outside any scope goes with the process that staged it."""
+    with suppress(Exception):  # the session may be gone by then
+        _delete(spark, root)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -42,5 +59,4 @@ def scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{_scopes.pop()}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, f"{staging_root(spark)}/{_scopes.pop()}")

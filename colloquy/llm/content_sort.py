@@ -58,12 +58,15 @@ def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ke
 
     # The number of partitions follows the session, not adaptive merging, which counts bytes only.
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    head, mark = F.substring(F.encode(body, "UTF-8"), 1, HEAD), F.substring("text_sha256", 1, HEAD)
+    # Sort keys are columns: a sort by expressions would compute them in every comparison.
+    # The normalised text is made after the shuffle, which moves each text once.
+    whole = docs.select(*own, *([] if keep_text else [text])).withColumn("text_sha256", F.sha2(body, 256))
     ordered = (
-        docs.select(*own, *([] if keep_text else [text]))
-        .withColumn("text_sha256", F.sha2(body, 256))
-        .repartitionByRange(slots, head, mark, order)
-        .sortWithinPartitions(head, mark, F.encode(body, "UTF-8"), order)
+        whole.withColumns({"_head": F.substring(F.encode(body, "UTF-8"), 1, HEAD), "_mark": F.substring("text_sha256", 1, HEAD)})
+        .repartitionByRange(slots, "_head", "_mark", order)
+        .withColumn("_body", F.encode(body, "UTF-8"))
+        .sortWithinPartitions("_head", "_mark", "_body", order)
+        .select(*whole.columns)
     )
     fields = [ordered.schema[c] for c in [*own, "text_sha256"]]
     pass_over = _places([f.name for f in fields], text)

@@ -2,8 +2,8 @@
 
 Two vocabularies encode the words of every text: a sentencepiece one with byte fallback and a
 byte-level one for many languages. From the tokens follow characters per token, the share of
-byte-fallback tokens and the entropy of the tokens in bits, and each must lie in
-the band of the text's language, or of its script where the language has none.
+byte-fallback tokens and the entropy of the tokens in bits, and each must lie in the band of the
+text's language and length, or of its script where the language has none.
 
 Beside them stand the usual counts of words, symbols, repeated lines and repeated passages, and
 a base verdict on length and repetition. Words are runs of anything but ASCII white space.
@@ -38,29 +38,39 @@ REMEMBERED = 300_000
 
 @dataclass(frozen=True)
 class Band:
-    """Accepted ranges; entropy only counts from ``ENTROPY_TOKENS`` tokens on, as short texts
-    cannot reach much of it."""
+    """Accepted ranges. ``floors`` holds the least characters per token and the least entropy by the
+    least number of sentencepiece tokens they count from, ascending from 0: short texts spread wider
+    and cannot reach much entropy."""
 
-    min_chars_per_token: float
     max_chars_per_token: float
     max_byte_share: float
-    min_entropy: float
+    floors: tuple[tuple[int, float, float], ...]
+
+    def fits(self, tokens: int, per_token: float, byte_share: float, entropy: float) -> bool:
+        least, bits = [floor[1:] for floor in self.floors if floor[0] <= tokens][-1]
+        return least <= per_token <= self.max_chars_per_token and byte_share <= self.max_byte_share and entropy >= bits
 
 
-ENTROPY_TOKENS = 100
 # Bands by language, then by script, then for everything else. Characters per token are
 # those of whole words without white space, averaged over both vocabularies.
+#
+# The floors of the four languages lie 0.03 to 0.04 characters and 0.09 to 0.16 bits below the lowest
+# value among the documents labelled clean that pass the base rule (check_s and sf0.1 together: 20,544
+# documents). For English these lowest values are, from 100, 250, 500, 1,000 and 2,000 tokens on, 1.76,
+# 1.97, 1.97, 2.08 and 2.16 characters and 5.46, 5.99, 6.34, 6.52 and 6.75 bits. Below 100 tokens there are
+# few such documents, so characters are let down 0.12 to 0.38 below the lowest and entropy does not count.
+# The tables have no text in other languages: those floors are wide, below one passage of each script.
 BANDS: Mapping[str, Band] = {
-    "en": Band(1.5, 7.0, 0.05, 3.0),
-    "fr": Band(1.4, 7.0, 0.05, 3.0),
-    "de": Band(1.4, 7.0, 0.05, 3.0),
-    "es": Band(1.4, 7.0, 0.05, 3.0),
-    "latin": Band(1.3, 7.0, 0.10, 3.0),
-    "cyrillic": Band(0.9, 6.0, 0.20, 3.0),
-    "greek": Band(0.6, 5.0, 0.40, 3.0),
-    "arabic": Band(0.5, 5.0, 0.50, 3.0),
-    "han": Band(0.3, 3.0, 0.80, 3.0),
-    "other": Band(0.2, 8.0, 0.95, 2.5),
+    "en": Band(7.0, 0.05, ((0, 1.50, 0), (100, 1.72, 5.35), (250, 1.93, 5.90), (500, 1.94, 6.25), (1000, 2.05, 6.40), (2000, 2.13, 6.65))),
+    "fr": Band(7.0, 0.05, ((0, 1.50, 0), (100, 1.62, 5.30), (250, 1.76, 5.85), (500, 1.85, 6.05), (1000, 1.88, 6.20), (2000, 1.93, 6.35))),
+    "de": Band(7.0, 0.05, ((0, 1.50, 0), (100, 1.97, 5.40), (250, 1.98, 5.80), (500, 1.98, 6.15), (1000, 2.09, 6.30), (2000, 2.17, 6.45))),
+    "es": Band(7.0, 0.05, ((0, 1.50, 0), (100, 1.77, 5.30), (250, 1.80, 5.80), (500, 1.85, 6.05), (1000, 1.85, 6.25), (2000, 1.91, 6.50))),
+    "latin": Band(7.0, 0.10, ((0, 1.30, 0), (100, 1.30, 5.0))),
+    "cyrillic": Band(6.0, 0.20, ((0, 0.9, 0), (100, 0.9, 4.5))),
+    "greek": Band(5.0, 0.40, ((0, 0.6, 0), (100, 0.6, 3.5))),
+    "arabic": Band(5.0, 0.50, ((0, 0.5, 0), (100, 0.5, 3.5))),
+    "han": Band(3.0, 0.80, ((0, 0.3, 0), (100, 0.3, 3.5))),
+    "other": Band(8.0, 0.95, ((0, 0.2, 0), (100, 0.2, 2.5))),
 }
 # Code point ranges that tell the scripts apart.
 SCRIPTS = {
@@ -198,12 +208,7 @@ def _measure(text: str, raw: bytes, words: list[bytes], lang: str | None, own: V
     per_token = 2 * chars / (len(tokens) + int(own.others[numbers].sum()))
     byte_share = float(own.bytes[tokens].mean())
     entropy = _entropy(tokens)
-    fits = (
-        band.min_chars_per_token <= per_token <= band.max_chars_per_token
-        and byte_share <= band.max_byte_share
-        and (len(tokens) < ENTROPY_TOKENS or entropy >= band.min_entropy)
-    )
-    return (*base, per_token, byte_share, entropy, name, fits and not failed)
+    return (*base, per_token, byte_share, entropy, name, band.fits(len(tokens), per_token, byte_share, entropy) and not failed)
 
 
 def measure_all(bodies: list[str], langs: list[str | None], own: Vocabularies, bands: Mapping[str, Band] = BANDS) -> list[tuple]:

@@ -107,6 +107,17 @@ def test_bands_reject_what_vocabularies_do_not_cover():
     assert row[0]["token_entropy"] == pytest.approx(-(counts * np.log2(counts)).sum())
 
 
+def test_bands_reject_junk_of_the_table_and_keep_clean_documents(spark):
+    """Among the labelled documents that pass the base rule."""
+    folder = "/root/testdata/sf0.1"
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    judged = [(quality[r.doc_id], r) for r in queries.op1_fertility(spark, folder).collect() if not r.base_failed and r.doc_id in quality]
+    clean, junk = ([r for q, r in judged if q == side] for side in (1, 0))
+    assert clean and all(r.kept for r in clean)
+    assert {r.band for r in junk if not r.kept} == {"en", "fr", "de", "es"}
+    assert sum(not r.kept for r in junk) >= 0.9 * len(junk)
+
+
 def plain_spans(text):
     found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     found += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]

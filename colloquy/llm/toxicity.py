@@ -3,11 +3,13 @@
 A word enters as the sum of hashed embeddings of its character 3- to 5-grams, scaled by the root of
 their number, beside a hashed embedding of the whole word. Two gated recurrent units read each
 window of ``WINDOW`` words from either end, attention pools their states, and a linear layer gives
-the window's logit. All overlapping windows of a text are scored; the highest logit is the text's.
+the window's logit. All overlapping windows of a text are scored, one from each word on that has
+``WINDOW`` words from there; the highest logit is the text's. A shorter text is one window.
 
 The network is trained in numpy on the driver from a bounded sample of labelled documents: at
 most ``TRAIN_DOCS`` of each label, in the order of a hash, with at most ``TRAIN_WORDS`` words
-each. Training passes the loss to the windows that score highest. Scoring reads every document whole.
+each. Training scores all their windows, too, and passes the loss to those that score highest.
+Scoring reads every document whole.
 
 Rows: null counts as the empty text; a text without words is scored as one window of padding.
 Scores depend on the text alone. Labels that are null, or of no document, are not trained on; without
@@ -42,6 +44,8 @@ THRESHOLD = 0.7
 # Words a worker remembers before it starts anew.
 REMEMBERED = 400_000
 SCORED_AT_ONCE = 2048
+# Windows whose states are held at once: they stay in a core's cache.
+SLID_AT_ONCE = 512
 NOT_LETTERS = re.compile(r"[\W_]+")
 
 
@@ -142,6 +146,49 @@ class Network:
         logits = pooled @ w["out"] + w["out_bias"][0]
         return (logits, (memory, states, hidden, share, pooled)) if keep else logits
 
+    def slide(self, projected: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Logits of the windows from each word on of a row of words: those of ``forward``. Neighbours
+        share their inputs, which are laid out once by word and read shifted by a step."""
+        w, count = self.weights, len(numbers) - WINDOW + 1
+        # A gate is (1 + tanh) / 2 of half its input: the halves are in the weights.
+        state_weights = np.ascontiguousarray(0.5 * w["state"].transpose(0, 2, 1))
+        read = np.concatenate([w["attend"], w["out"][:, None]], 1).T.copy()
+        logits = np.empty(max(count, 0), np.float32)
+        for at in range(0, count, SLID_AT_ONCE):
+            n = min(SLID_AT_ONCE, count - at)
+            inputs = np.ascontiguousarray(projected[:, numbers[at : at + n + WINDOW - 1]].transpose(0, 2, 1))
+            inputs[:, : 2 * HIDDEN] *= 0.5
+            state = np.zeros((2, HIDDEN, n), np.float32)
+            states = np.empty((WINDOW, 2, HIDDEN, n), np.float32)
+            for t in range(WINDOW):
+                back = WINDOW - 1 - t
+                shifted = (inputs[0, :, t : t + n], inputs[1, :, back : back + n])
+                carried = state_weights @ state
+                gates, fresh = carried[:, : 2 * HIDDEN], carried[:, 2 * HIDDEN :]
+                for side in (0, 1):
+                    gates[side] += shifted[side][: 2 * HIDDEN]
+                np.tanh(gates, out=gates)
+                gates += 1
+                update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
+                fresh *= reset
+                for side in (0, 1):
+                    fresh[side] += shifted[side][2 * HIDDEN :]
+                np.tanh(fresh, out=fresh)
+                update *= 0.5
+                state -= fresh
+                state *= update
+                state += fresh
+                states[t, 0] = state[0]
+                states[back, 1] = state[1]
+            hidden = read @ states.reshape(WINDOW, 2 * HIDDEN, n)
+            value, hidden = hidden[:, ATTENTION], hidden[:, :ATTENTION]
+            hidden += w["attend_bias"][:, None]
+            np.tanh(hidden, out=hidden)
+            scores = w["attend_out"] @ hidden
+            share = np.exp(scores - scores.max(0))
+            logits[at : at + n] = (share * value).sum(0) / share.sum(0) + w["out_bias"][0]
+        return logits
+
     def backward(self, projected: np.ndarray, windows: np.ndarray, kept, slope: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the weights above the embedding, and of the projected words."""
         memory, states, hidden, share, pooled = kept
@@ -177,8 +224,8 @@ class Network:
 
 
 def _windows(numbers: list[np.ndarray], padding: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All overlapping windows of texts given as word numbers, what in them is not padding, and
-    where each text's windows begin. A text without words has one window."""
+    """Windows from each ``STRIDE``-th word on of texts given as word numbers, what in them is not
+    padding, and where each text's windows begin. A text of up to ``WINDOW`` words, or none, has one."""
     sizes = np.array([len(n) for n in numbers])
     counts = np.maximum(-(-(sizes - (WINDOW - STRIDE)) // STRIDE), 1)
     begins = np.cumsum(counts) - counts
@@ -192,6 +239,35 @@ def _windows(numbers: list[np.ndarray], padding: int) -> tuple[np.ndarray, np.nd
     return windows, real, begins
 
 
+def every_logit(net: Network, projected: np.ndarray, numbers: list[np.ndarray], padding: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of all overlapping windows of texts given as word numbers, and where each text's begin."""
+    sizes = np.array([len(n) for n in numbers])
+    counts = np.maximum(sizes - WINDOW + 1, 1)
+    begins = np.cumsum(counts) - counts
+    logits = np.empty(counts.sum(), np.float32)
+    whole = sizes >= WINDOW
+    if short := [n for n, is_whole in zip(numbers, whole, strict=True) if not is_whole]:
+        windows, real, _ = _windows(short, padding)
+        parts = [slice(at, at + SCORED_AT_ONCE) for at in range(0, len(windows), SCORED_AT_ONCE)]
+        logits[begins[~whole]] = np.concatenate([net.forward(projected, windows[part], real[part]) for part in parts])
+    if whole.any():
+        # Longer texts are read as one row; windows over a border are left out.
+        slid = net.slide(projected, np.concatenate([n for n, is_whole in zip(numbers, whole, strict=True) if is_whole]))
+        first = np.cumsum(sizes[whole]) - sizes[whole]
+        within = np.arange(counts[whole].sum()) - np.repeat(np.cumsum(counts[whole]) - counts[whole], counts[whole])
+        logits[np.repeat(whole, counts)] = slid[np.repeat(first, counts[whole]) + within]
+    return logits, begins
+
+
+def _cut(numbers: list[np.ndarray], starts: list[int], padding: int) -> tuple[np.ndarray, np.ndarray]:
+    """The window of each text that begins at ``starts``, and what in it is not padding."""
+    windows = np.full((len(numbers), WINDOW), padding)
+    for row, words, start in zip(windows, numbers, starts, strict=True):
+        part = words[start : start + WINDOW]
+        row[: len(part)] = part
+    return windows, windows != padding
+
+
 def train(texts_: list[str], labels: list[int], seed: int = 7) -> Network:
     """A network fitted to labelled texts, by Adam on the windows that score highest."""
     rng = np.random.default_rng(seed)
@@ -213,29 +289,28 @@ def train(texts_: list[str], labels: list[int], seed: int = 7) -> Network:
         for at in range(rounds):
             part = slice(at * BATCH_DOCS // 2, (at + 1) * BATCH_DOCS // 2)
             chosen = np.concatenate([d[part] for d in dealt])
-            windows, real, first = _windows([numbers[i] for i in chosen], -1)
             # Only the words at hand are embedded.
-            used, local = np.unique(windows[real & (windows >= 0)], return_inverse=True)
+            sizes = [len(numbers[i]) for i in chosen]
+            used, local = np.unique(np.concatenate([numbers[i] for i in chosen]), return_inverse=True)
             if not len(used):
                 continue
-            renamed = np.full(windows.shape, len(used))
-            renamed[real & (windows >= 0)] = local
+            renamed = np.split(local, np.cumsum(sizes)[:-1])
             spans = ends[used] - begins[used]
             grams = buckets[np.repeat(begins[used] - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())]
             own_begins = np.cumsum(spans) - spans
             embedded = net.embed(grams, own_begins, word_rows[used])
             projected = net.project(embedded)
-            logits = net.forward(projected, renamed, real)
-            best, weight = [], []
+            logits, first = every_logit(net, projected, renamed, len(used))
+            starts, weight = [], []
             for d, (a, b) in enumerate(zip(first, np.append(first[1:], len(logits)), strict=True)):
-                top = a + np.argsort(-logits[a:b], kind="stable")[:TOP_WINDOWS]
-                best += top.tolist()
+                top = np.argsort(-logits[a:b], kind="stable")[:TOP_WINDOWS]
+                starts += top.tolist()
                 weight += [(d, 1 / len(top))] * len(top)
-            best = np.array(best)
-            chosen_logits, kept = net.forward(projected, renamed[best], real[best], keep=True)
+            best, real = _cut([renamed[d] for d, _ in weight], starts, len(used))
+            chosen_logits, kept = net.forward(projected, best, real, keep=True)
             target = labels_[chosen][[d for d, _ in weight]]
             slope = ((_gate(chosen_logits) - target) * np.array([s for _, s in weight]) / len(chosen)).astype(np.float32)
-            grads, d_projected = net.backward(projected, renamed[best], kept, slope)
+            grads, d_projected = net.backward(projected, best, kept, slope)
 
             d_inputs = d_projected[:, :-1]
             grads["input"] = embedded.T[None] @ d_inputs
@@ -295,13 +370,7 @@ class Scorer:
         words = [body.split() for body in bodies]
         self.learn(set().union(*words))
         numbers = [np.fromiter(map(self.index.__getitem__, w), np.int64, len(w)) for w in words]
-        windows, real, begins = _windows(numbers, 0)
-        logits = np.concatenate(
-            [
-                self.net.forward(self.rows, windows[at : at + SCORED_AT_ONCE], real[at : at + SCORED_AT_ONCE])
-                for at in range(0, len(windows), SCORED_AT_ONCE)
-            ]
-        )
+        logits, begins = every_logit(self.net, self.rows, numbers, 0)
         return _gate(np.maximum.reduceat(logits, begins).astype(np.float64))
 
 

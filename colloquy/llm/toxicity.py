@@ -7,13 +7,15 @@ the window's logit. All overlapping windows of a text are scored, one from each
 ``WINDOW`` words from there; the highest logit is the text's. A shorter text is one window.
 
 The network is trained in numpy on the driver from a bounded sample of labelled documents: at
-most ``TRAIN_DOCS`` of each label, in the order of a hash, with at most ``TRAIN_WORDS`` words
-each. Training scores all their windows, too, and passes the loss to those that score highest.
+most ``TRAIN_DOCS`` of each label, in the order of a hash, whatever their length. Of one with more
+than ``TRAIN_WORDS`` words it reads as many in a row, from a place that a hash of the text gives, and
+of any at most ``TRAIN_CHARS`` characters. Training scores all their windows, too, and passes the loss to those that score highest.
 Scoring reads every document whole.
 
 Rows: null counts as the empty text; a text without words is scored as one window of padding.
 Scores depend on the text alone. Labels that are null, or of no document, are not trained on; without
-documents of both labels every score is 0. An empty table gives no rows. Columns called like a
+documents of either label, or without labels of one, every score is 0. Labels of both of which only
+one has documents are an error. An empty table gives no rows. Columns called like a
 result are replaced.
 """
 
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.llm.common import append_columns, texts, word_count
+from colloquy.llm.common import WORD, append_columns, texts, word_count
 
 WINDOW, STRIDE = 32, 16
 CHAR_ROWS, CHAR_DIM = 1 << 15, 16
@@ -38,6 +40,7 @@ WORD_ROWS, WORD_DIM = 1 << 14, 8
 HIDDEN, ATTENTION = 8, 8
 # Most documents of label 0 and of label 1, and words of each, to train on.
 TRAIN_DOCS, TRAIN_WORDS = (2400, 800), 400
+TRAIN_CHARS = 40 * TRAIN_WORDS
 EPOCHS, BATCH_DOCS, RATE = 6, 32, 4e-3
 TOP_WINDOWS = 2
 THRESHOLD = 0.7
@@ -380,16 +383,28 @@ def held_out(key: str) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> list[tuple[str, int]]:
-    """At most ``TRAIN_DOCS`` labelled texts. More labels are drawn than are needed, as not all
-    texts are short enough; the draw, not the table, is what is joined and collected."""
+    """At most ``TRAIN_DOCS`` labelled texts, long ones as a passage. Labels are drawn among those whose
+    document has a word; the draw, not the table, is what is joined with texts and collected."""
     known = labels.select(key, F.col(label).cast("int").alias("_label"))
     known = known.filter(F.col("_label").isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).distinct()
     order = [F.xxhash64(F.col(key)), F.col(key)]
-    drawn = [known.filter(F.col("_label") == side).orderBy(*order).limit(4 * TRAIN_DOCS[side]) for side in (0, 1)]
-    size = word_count(F.col(text))
-    found = docs.select(key, text).join(F.broadcast(drawn[0].union(drawn[1])), key).filter((size > 0) & (size <= TRAIN_WORDS))
-    chosen = [found.filter(F.col("_label") == side).orderBy(*order, text).limit(TRAIN_DOCS[side]) for side in (0, 1)]
-    return [(row[text], row["_label"]) for row in chosen[0].union(chosen[1]).collect()]
+    worded = docs.filter(F.col(text).rlike(WORD)).select(key, text)
+    present = known.join(worded.select(key), key, "left_semi")
+    drawn = [present.filter(F.col("_label") == side).orderBy(*order).limit(TRAIN_DOCS[side]) for side in (0, 1)]
+    found = worded.join(F.broadcast(drawn[0].union(drawn[1])), key).withColumn("_passage", _passage(F.col(text)))
+    chosen = [found.filter(F.col("_label") == side).orderBy(*order, F.xxhash64(text), "_passage").limit(TRAIN_DOCS[side]) for side in (0, 1)]
+    sample = [(row["_passage"], row["_label"]) for row in chosen[0].union(chosen[1]).select("_passage", "_label").collect()]
+    if len(sides := {side for _, side in sample}) == 1 and not known.filter(~F.col("_label").isin(*sides)).isEmpty():
+        raise ValueError(f"only documents labelled {sides.pop()} have text to train on, though there are labels of both kinds")
+    return sample
+
+
+def _passage(text: Column) -> Column:
+    """What training reads of a text."""
+    size = word_count(text)
+    start = F.pmod(F.xxhash64(text), F.greatest(size - TRAIN_WORDS + 1, F.lit(1))).cast("int") + 1
+    words = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), start, F.lit(TRAIN_WORDS))
+    return F.substring(F.when(size <= TRAIN_WORDS, F.trim(F.translate(text, "\t\n\r\x0b\x0c", "     "))).otherwise(F.array_join(words, " ")), 1, TRAIN_CHARS)
 
 
 def score(

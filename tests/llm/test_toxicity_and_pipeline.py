@@ -66,6 +66,22 @@ def test_every_window_is_scored():
     assert alone[:: toxicity.STRIDE].max() < got[0] - 1e-3
 
 
+def test_training_reads_long_texts_and_misses_no_label(spark):
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    long_text = " ".join(f"w{i}" for i in range(1000))
+    docs = spark.createDataFrame([(i, f"d{i} {long_text}" if i % 2 else f" d{i} short ") for i in ids[:100]] + [(ids[100], "x" * 100_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids[:100]] + [(ids[100], 0)] + [(-i, 1) for i in range(1, 4000)], "doc_id long, toxic int")
+    sample = toxicity.training_sample(docs, labels)
+    assert len(sample) == 101 and {label for _, label in sample} == {0, 1}
+    for body, label in sample:
+        assert len(body) <= toxicity.TRAIN_CHARS and len(body.split()) == (toxicity.TRAIN_WORDS if label else min(2, len(body.split())))
+        assert not label or body in f"d0 {long_text}" or body.split(" ", 1)[1] in long_text
+    assert len({body for body, label in sample if label}) > 20
+    # Toxic labels there are, but none with a text.
+    with pytest.raises(ValueError, match="labelled 0"):
+        toxicity.score(docs.filter("doc_id % 2 = 0"), labels)
+
+
 def test_held_out_accuracy(spark):
     """Trained on two thirds of the labelled documents of the large test table, scored on the rest."""
     folder = "/root/testdata/sf0.1"

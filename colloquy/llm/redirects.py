@@ -88,13 +88,14 @@ def link_targets(html: Column) -> Column:
 
 
 def _target_rest(target: Column, host: Column, path: Column) -> Column:
-    """A link target as seen from a page, from its host on: whole URLs, ``//host/path``, ``/path``
-    and relative paths."""
+    """A link target as seen from a page, from its host on: whole URLs, ``//host/path``, ``/path``,
+    relative paths, and a query or fragment alone, which stays on the page's own path."""
     folder = F.regexp_extract(path, r"^(.*/)", 1)
     return (
         F.when(target.contains("://"), _rest(target))
         .when(target.startswith("//"), target.substr(F.lit(3), F.length(target)))
         .when(target.startswith("/"), F.concat(host, target))
+        .when(target.rlike(r"^[?#]"), F.concat(host, path, target))
         .otherwise(F.concat(host, F.when(folder == "", "/").otherwise(folder), target))
     )
 

@@ -88,6 +88,18 @@ def test_blocks_reach_aliases_and_allow_rules_win(spark):
     assert got[4] == ("www.example.com/en/", "allow") and got[8][1] == got[9][1] == "allow"
 
 
+def test_a_query_alone_stays_on_the_path_of_the_page(spark):
+    rows = [
+        (1, "https://x.org/c/d?p=1", "<link rel=canonical href='?p=2'>"),
+        (2, "https://x.org/c/", "<link rel=canonical href='https://spam.net/es/1'>"),
+        (3, "https://x.org/c/e", "<meta http-equiv=refresh content='0; url=#top'>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {tuple(r) for r in redirects.page_edges(pages).collect()} == {("x.org/c/d", "x.org/c/d"), ("x.org/c/", "spam.net/es/1"), ("x.org/c/e", "x.org/c/e")}
+    blocked = {r.page_id for r in redirects.judge(pages, RULES).collect() if r.verdict == "block"}
+    assert blocked == {2}
+
+
 def test_longest_rule_wins(spark):
     urls = ["http://example.com/en/1", "http://a.example.com/en/1", "http://www.example.com/en/1", "http://a.www.example.com/en/", "http://notexample.com/en/1",
             "http://b.NET/es/x", "http://b.net/es", "http://b.net:80/es/x", "http://com/", "http://com", "http://example.com?/en/", None, "x"]

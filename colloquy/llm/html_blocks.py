@@ -7,7 +7,9 @@ ones, are undecided. In the second pass an undecided block inherits the label of
 decided neighbours, within the article where the page marks one: where they differ, the nearer
 counts, and at equal distance the text. An article without any decided block is text.
 
-Where a page marks an article (``article``, ``main``), only its blocks can be text.
+Where a page marks an article (``article``, ``main``), only its blocks can be text, and there neither few
+stop words nor length make a block boilerplate: the mark overrides those rules. On other pages whose
+long blocks have hardly any stop words, in a language without a list, length and links decide.
 
 Rows: null html counts as empty; a page without text gives the empty text. Pages are read whole;
 unclosed elements, comments, scripts and quotes run to the end of what the page has. The result
@@ -63,7 +65,17 @@ HINTS = frozenset(
     "social sponsor sponsored subscribe subscription tags teaser teasers toolbar widget widgets".split()
 )
 
+# Words that make a name a state of the page (``has-sidebar``, ``comments-open``).
+STATES = frozenset("has with no without is not open closed enabled disabled allowed layout active".split())
+# Elements whose start ends an open paragraph.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr main menu nav ol p pre search section summary table ul".split()
+)
+
 STOP_SHARE = 0.20
+# Under this share of stop words over the long blocks of a page, its language has no list.
+LISTED_SHARE = 0.05
 LINK_SHARE = 0.5
 SHORT_CHARS = 40
 
@@ -94,15 +106,16 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, unclassified."""
     found: list[Block] = []
     pieces: list[str] = []
-    # Open elements that matter: (name, outside, article); links are counted apart.
-    stack: list[tuple[str, bool, int]] = []
-    outside, article, articles, links, linked = False, 0, 0, 0, 0
+    # Open elements that matter: (name, outside, article); links are counted apart. Outside is 1 by
+    # a part of a name alone, which an article within takes back, and 2 for good.
+    stack: list[tuple[str, int, int]] = []
+    outside, article, articles, links, linked = 0, 0, 0, 0, 0
 
     def close_block() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            found.append(Block(text, linked, outside, article))
+            found.append(Block(text, linked, outside > 0, article))
         pieces.clear()
         linked = 0
 
@@ -133,6 +146,9 @@ def blocks_of(page: str) -> list[Block]:
         if name in INLINE and not (token["rest"] and not closing and _hidden(token["rest"])):
             continue
         close_block()
+        if name in ENDS_P and not closing and stack and stack[-1][0] == "p":
+            stack.pop()
+            outside, article = stack[-1][1:] if stack else (0, 0)
         if name in VOID:
             continue
         if closing:
@@ -140,16 +156,19 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[depth][0] == name:
                     del stack[depth:]
                     break
-            outside, article = stack[-1][1:] if stack else (False, 0)
+            outside, article = stack[-1][1:] if stack else (0, 0)
         elif name not in ("p", "li", "tr", "td", "th", "dt", "dd", "option", "html", "body") or token["rest"]:
             if name in ("html", "body"):
                 continue
             if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and not _named(token["rest"]):
                 continue
-            if name in ARTICLE and not article and not outside:
+            own = 2 if name in BOILERPLATE else _named(token["rest"])
+            if name in ARTICLE and not article and outside < 2:
                 articles += 1
                 article = articles
-            outside = outside or name in BOILERPLATE or _named(token["rest"])
+                outside = 0
+                own = own if own == 2 else 0
+            outside = max(outside, own)
             stack.append((name, outside, article))
     close_block()
     return found
@@ -162,25 +181,40 @@ def _hidden(marks: str) -> bool:
     )
 
 
-def _named(marks: str) -> bool:
-    """Whether an element is hidden or its class, id or role names a part around the article."""
+def _named(marks: str) -> int:
+    """2 where an element is hidden or its role, id or a class is a hint, 1 where a part of one is."""
     if not marks:
-        return False
+        return 0
     if _hidden(marks):
-        return True
-    return any(key.lower() in ("class", "id", "role") and not HINTS.isdisjoint(NAME_PART.findall(value.lower())) for key, value in MARKS.findall(marks))
+        return 2
+    names = [n for key, value in MARKS.findall(marks) if key.lower() in ("class", "id", "role") for n in value.lower().strip("\"'").split()]
+    if not HINTS.isdisjoint(names):
+        return 2
+    parts = [set(NAME_PART.findall(name)) for name in names]
+    return int(any(not HINTS.isdisjoint(p) and STATES.isdisjoint(p) for p in parts))
 
 
 def classify(blocks: list[Block]) -> list[bool]:
     """For each block whether it is text of the article."""
     marked = any(block.article and not block.outside for block in blocks)
+    listed = marked or _listed(blocks)
     for block in blocks:
-        block.label = _first_pass(block, marked)
+        block.label = _first_pass(block, marked, listed)
     _second_pass([b for b in blocks if not b.outside and (b.article or not marked)], marked)
     return [bool(block.label) for block in blocks]
 
 
-def _first_pass(block: Block, marked: bool) -> bool | None:
+def _listed(blocks: list[Block]) -> bool:
+    """Whether the long blocks that are not mostly links have stop words of a listed language."""
+    words: list[str] = []
+    for block in blocks:
+        size = len(block.text) - block.text.count(" ")
+        if not block.outside and size >= SHORT_CHARS and block.linked <= LINK_SHARE * size:
+            words += WORD.findall(block.text.lower())
+    return sum(map(STOP_WORDS.__contains__, words)) >= LISTED_SHARE * len(words)
+
+
+def _first_pass(block: Block, marked: bool, listed: bool) -> bool | None:
     if block.outside or (marked and not block.article):
         return False
     size = len(block.text) - block.text.count(" ")
@@ -188,7 +222,7 @@ def _first_pass(block: Block, marked: bool) -> bool | None:
         return False
     words = WORD.findall(block.text.lower())
     stops = sum(map(STOP_WORDS.__contains__, words))
-    if size >= SHORT_CHARS and stops >= STOP_SHARE * max(len(words), 1):
+    if size >= SHORT_CHARS and (stops >= STOP_SHARE * max(len(words), 1) or (words and not listed)):
         return True
     if not marked and size >= SHORT_CHARS and not stops:
         return False

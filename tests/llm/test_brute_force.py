@@ -203,6 +203,19 @@ def test_main_text_of_made_pages():
     assert html_blocks.main_text("<" * 20000) == html_blocks.main_text("<a" * 20000) == html_blocks.main_text("<a b=\"" * 20000) == ""
 
 
+def test_main_text_survives_names_languages_and_open_paragraphs():
+    text = "This is the text of the page and it has all of the words that one would like to have."
+    assert html_blocks.main_text(f"<div class='content has-sidebar'><p>{text}</p></div>") == text
+    assert html_blocks.main_text(f"<article class='post comments-open'><p>{text}</p></article>") == text
+    assert html_blocks.main_text(f"<div class='sidebar-left'><article><p>{text}</p></article></div>") == text
+    assert html_blocks.main_text(f"<article><p>{text}</p></article><div id=comments><article><p>{text}</p></article></div><div class=site-footer>{text}</div>") == text
+    russian = "Все люди рождаются свободными и равными в своем достоинстве и правах."
+    assert html_blocks.main_text(f"<div><a href=x>{russian}</a></div><div><p>{russian}</p></div>") == russian
+    chinese = "人人生而自由，在尊严和权利上一律平等。" * 4
+    assert html_blocks.main_text(f"<p>{chinese}</p>") == chinese
+    assert html_blocks.main_text(f"<article><p class='notice'>A notice of the day<p>{text}<div>{text}</div></article>") == f"{text} {text}"
+
+
 def test_main_text_of_the_table_is_the_article(spark, sf_dir):
     import html
 

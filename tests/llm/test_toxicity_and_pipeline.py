@@ -99,6 +99,14 @@ def test_held_out_accuracy(spark):
     assert sum(negative) <= 0.03 * len(negative)
 
 
+def test_near_copies_go_by_row(spark):
+    one, other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(9, one), (5, one + " x"), (5, other), (None, one + " y"), (None, third), (None, third + " z"), (7, "alone")]
+    docs = spark.createDataFrame([(i, text, "en", "a", len(text)) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id or 0, r.text[:2]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert got == [(0, "c0"), (5, "a0"), (5, "b0"), (7, "al")]
+
+
 def test_pipeline_stages_equal_brute_force(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import content_sort, fertility, html_blocks, lengths, pareto_mix, partition_join, piece_bpe, redirects, span_crf, toxicity
+from colloquy.llm import (
+    content_sort, fertility, grid_codes, html_blocks, lengths, letter_trees, pareto_mix, partition_join, piece_bpe, prefix_targets, redirects, span_crf, toxicity,
+)
 from colloquy.llm.common import read_table
 from colloquy.staging import stage
 
@@ -98,6 +100,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_sums(counts)
 
 
+def op11_letter_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return letter_trees.variants(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_codes.compress(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+# A conversation that says what the template uses itself.
+CONTROLS = r"\### Assistant: </turn> ok"
+
+
+def op13_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = spark.createDataFrame([(-7, turn, role, CONTROLS) for turn, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    return prefix_targets.read_back(stage(prefix_targets.expand(turns.unionByName(said)), "expanded"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fertility": op1_fertility,
     "op2_html_blocks": op2_html_blocks,
@@ -109,8 +129,52 @@ QUERIES: dict[str, Query] = {
     "op8_span_crf": op8_span_crf,
     "op9_redirects": op9_redirects,
     "op10_token_counts": op10_token_counts,
+    "op11_letter_trees": op11_letter_trees,
+    "op12_grid_codes": op12_grid_codes,
+    "op13_prefix_targets": op13_prefix_targets,
 }
 
+def _quantiser_sql(rounds: int = 4) -> str:
+    """Codebooks fitted in as many steps, each a table of its own."""
+
+    def nearest(book: str) -> str:
+        return f"""select vec_id, p, v, min({{'d': list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c), 'e': e}}) as best
+                   from parts join {book} using (p) group by vec_id, p, v"""
+
+    steps = []
+    for r in range(1, rounds + 1):
+        steps.append(f"near{r} as materialized ({nearest(f'book{r - 1}')})")
+        steps.append(f"""book{r} as materialized (
+          select b.p, b.e, coalesce(m.c, b.c) as c
+          from book{r - 1} b left join (
+            select p, e, list(mean order by i) as c
+            from (select p, best.e as e, i, floor(sum(x) / count(*)) as mean from (select p, best, unnest(v) as x, generate_subscripts(v, 1) as i from near{r}) group by p, best.e, i)
+            group by p, e
+          ) m using (p, e)
+        )""")
+    chain = ", ".join(steps)
+    return f"""
+        with kept as (
+          select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as whole
+          from embeddings
+          where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), parts as materialized (
+          select vec_id, p, whole[p * len(whole) // 4 + 1 : (p + 1) * len(whole) // 4] as v from kept, (select unnest(range(4)) as p)
+        ), book0 as materialized (
+          select p, row_number() over (partition by p order by vec_id nulls last) - 1 as e, v as c
+          from parts qualify row_number() over (partition by p order by vec_id nulls last) <= 256
+        ), {chain}, last as materialized (
+          {nearest(f"book{rounds}")}
+        ), coded as (
+          select k.vec_id, any_value(k.label) as label, string_agg(right('0' || lower(hex(best.e)), 2), '' order by p) as code, sum(best.d)::bigint as error
+          from last join kept k on last.vec_id is not distinct from k.vec_id group by k.vec_id
+        )
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+               (select sha256(string_agg(x::bigint::varchar, ',' order by p, e, i)) from (select p, e, unnest(c) as x, generate_subscripts(c, 1) as i from book{rounds})) as codebooks_sha256
+        from coded
+    """
+
+
 SQL: dict[str, str] = {
     "op3_pareto_mix": r"""
         with recursive sized as (
@@ -252,4 +316,57 @@ SQL: dict[str, str] = {
         from documents d join reach r using (doc_id) left join sizes z using (doc_id)
         group by d.doc_id
     """,
+    # The checksum is worked out four bits at a time, the lower ones of a byte first.
+    "op11_letter_trees": r"""
+        with recursive steps as materialized (
+          select list_transform(range(16), lambda i: list_reduce(list_prepend(i, range(4)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+        ), runs as (
+          select key, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as c
+          from (select coalesce(doc_id::varchar, '') as key, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) as run from documents)
+          where length(run) >= 6 group by 1, 2
+        ), bytes as (
+          select run, c, hex(encode(key || ':' || run)) as h from runs
+        ), halves as (
+          select run, c, list_transform(range(1, len(h) + 1), lambda j: strpos('0123456789ABCDEF', substr(h, j + (case when j % 2 = 1 then 1 else -1 end), 1)) - 1) as b from bytes
+        ), marked as (
+          select run, c, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda x, y: xor(t[(xor(x, y) & 15) + 1], x >> 4)), 4294967295) as mark from halves, steps
+        ), words as materialized (
+          select word, sum(c)::bigint as n
+          from (select c, case when mark % 199 = 0 then left(run, (mark % length(run))::int) || substr(run, (mark % length(run))::int + 2) else run end as word from marked)
+          where length(word) >= 6 group by word having sum(c) >= 5
+        ), cuts as materialized (
+          select word, n, i, left(word, i::int - 1) || substr(word, i::int + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+        ), pairs as (
+          select a.word, b.word as other, b.n as other_n from cuts a join cuts b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+          union select a.word, b.word, b.n from cuts a join words b on a.rest = b.word
+          union select b.word, a.word, a.n from cuts a join words b on a.rest = b.word
+        ), best as (
+          select word, count(*) as n_near, min({'minus': -other_n, 'word': other}) as top from pairs group by word
+        ), forms as materialized (
+          select w.word, w.n, coalesce(n_near, 0) as n_near,
+                 case when -top.minus >= 5 * w.n then top.word end as form, case when -top.minus >= 5 * w.n then -top.minus end as form_n
+          from words w left join best using (word)
+        ), path as (
+          select word, word as at, form as next from forms
+          union all select p.word, f.word, f.form from path p join forms f on p.next = f.word
+        )
+        select f.word, f.form, p.at as root, f.n, f.n_near, f.form_n from forms f join path p on f.word = p.word and p.next is null
+    """,
+    "op12_grid_codes": _quantiser_sql(),
+    "op13_prefix_targets": r"""
+        with turns as (
+          select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+          union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), sized as (
+          select *, 14 + length(role) + length(text) + len(regexp_extract_all(role || text, '\\|</turn>')) + len(regexp_extract_all(role, ': '))
+                    + len(regexp_extract_all(role, '#')) - len(regexp_extract_all(role, '#+')) + len(regexp_extract_all(text, '#')) - len(regexp_extract_all(text, '#+')) as chars
+          from turns
+        )
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, md5(text))) as turns_sha256,
+               coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn nulls first, role, md5(text)) filter (where role = 'assistant'), '')) as loss_sha256,
+               sum(chars)::bigint as formatted_chars
+        from sized group by conv_id
+    """,
 }

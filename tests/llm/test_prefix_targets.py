@@ -1,0 +1,95 @@
+"""Chat examples: marks, masks, prefixes, and what is read back."""
+
+import hashlib
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from colloquy.llm import prefix_targets as p
+from colloquy.llm.queries import CONTROLS
+from tests.conftest import rows
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+PIECES = ["#", "##", "###", "####", "\\", "/", "<", "</turn>", "</turn", "turn>", "\n", ": ", ":", " ", "### user: ", "é", "👩‍👩‍👧", "x", "\\#", "<\\/turn>"]
+MIXED = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)
+
+
+def conversations(seed=1):
+    rng = random.Random(seed)
+    some = lambda: "".join(rng.choice(PIECES) for _ in range(rng.randrange(9)))
+    made = [(c, t, rng.choice(["user", "assistant", "assistant", "system", some()]), some()) for c in range(40) for t in range(rng.randrange(1, 9))]
+    made += [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (50, None, "assistant", "first"), (50, 0, None, None), (50, 1, "assistant", None)]
+    made += [(51, 3, "assistant", "b"), (51, 3, "assistant", "a"), (51, 3, "assistant", "a"), (52, 0, "user", "no reply"), (-7, 0, "user", CONTROLS), (-7, 1, "assistant", CONTROLS)]
+    rng.shuffle(made)
+    return made
+
+
+def in_order(made):
+    found = {}
+    for conv, turn, role, text in sorted(made, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", hashlib.md5((r[3] or "").encode()).hexdigest())):
+        found.setdefault(conv, []).append((role or "", text or ""))
+    return found
+
+
+def test_reads_back_every_turn_and_reply_once(spark):
+    made = conversations()
+    clashing = spark.createDataFrame(made, SCHEMA).withColumn("segment", F.lit("clash")).withColumn("position", F.lit(0))
+    expanded = p.expand(clashing)
+    formatted = {}
+    for r in sorted(expanded.collect(), key=lambda r: r.position):
+        formatted[r.conv_id] = formatted.get(r.conv_id, "") + r.segment
+        assert r.chars == len(formatted[r.conv_id])
+    want = []
+    for conv, turns in in_order(made).items():
+        replies = "".join(text for role, text in turns if role == "assistant")
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{role}\n{text}\n" for role, text in turns), replies)]
+        want.append((conv, len(turns), digests[0], len(replies), digests[1], len(formatted[conv])))
+    assert rows(p.read_back(expanded)) == sorted(want, key=repr)
+
+
+def test_each_reply_is_an_example_with_all_turns_before(spark):
+    made = conversations(2)
+    got = {(r.conv_id, r.position): r for r in p.render(p.expand(spark.createDataFrame(made, SCHEMA))).collect()}
+    replies = 0
+    for conv, turns in in_order(made).items():
+        for at, (role, text) in enumerate(turns, 1):
+            if role != "assistant":
+                assert (conv, at) not in got
+                continue
+            replies += 1
+            example = got[conv, at]
+            assert len(example.text) == example.chars
+            parts = example.text.split(p.CLOSE)
+            assert parts.pop() == ""
+            assert [p.read_turn(part + p.CLOSE) for part in parts] == turns[:at]
+            assert p.unescape(example.text[example.loss_start : example.loss_end]) == text
+            assert example.text[example.loss_end :] == p.CLOSE and example.text[: example.loss_start].endswith("### assistant: ")
+    assert replies == len(got) > 40
+
+
+def test_long_conversation_is_spread_and_equal(spark):
+    """A conversation with a third of all turns, over more partitions than one."""
+    made = [(1, t, "assistant" if t % 2 else "user", f"turn {t} " + "x" * (t % 50)) for t in range(900)] + [(100 + c, t, "assistant", f"{c}") for c in range(900) for t in range(2)]
+    expanded = p.expand(spark.createDataFrame(made, SCHEMA))
+    one = [r for r in p.read_back(expanded).collect() if r.conv_id == 1]
+    assert len(one) == 1 and one[0].n_turns == 900
+    assert one[0].loss_sha256 == hashlib.sha256("".join(r[3] for r in made[:900] if r[2] == "assistant").encode()).hexdigest()
+    assert p.examples(expanded).count() == 450 + 1800
+
+
+def test_empty_table(spark):
+    expanded = p.expand(spark.createDataFrame([], SCHEMA))
+    assert expanded.count() == p.render(expanded).count() == p.read_back(expanded).count() == 0
+
+
+@settings(max_examples=400, deadline=None)
+@given(MIXED, MIXED)
+def test_marks_are_reversible(role, text):
+    import regex
+
+    escape = lambda value, controls: regex.sub(controls, lambda m: "\\" + m[0], value)
+    body = escape(text, p.IN_TEXT)
+    assert "###" not in body and "</turn>" not in body
+    assert p.read_turn(p.OPEN + escape(role, p.IN_ROLE) + p.AFTER_ROLE + body + p.CLOSE) == (role, text)

@@ -1,16 +1,14 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-A word enters as the sum of hashed embeddings of its character 3- to 5-grams, scaled by the root of
+A word enters as the sum of hashed embeddings of its character n-grams (``ORDERS``), scaled by the root of
 their number, beside a hashed embedding of the whole word. Two gated recurrent units read each
 window of ``WINDOW`` words from either end, attention pools their states, and a linear layer gives
 the window's logit. All overlapping windows of a text are scored, one from each word on that has
 ``WINDOW`` words from there; the highest logit is the text's. A shorter text is one window.
 
 The network is trained in numpy on the driver from a bounded sample of labelled documents: at
-most ``TRAIN_DOCS`` of each label, in the order of a hash, whatever their length. Of one with more
-than ``TRAIN_WORDS`` words it reads as many in a row, from a place that a hash of the text gives, and
-of any at most ``TRAIN_CHARS`` characters. Training scores all their windows, too, and passes the loss to those that score highest.
-Scoring reads every document whole.
+most ``TRAIN_DOCS`` of each label, in the order of a hash, whole texts of any length. Training scores all their
+windows, too, and passes the loss to those that score highest. Scoring reads every document whole.
 
 Rows: null counts as the empty text; a text without words is scored as one window of padding.
 Scores depend on the text alone. Labels that are null, or of no document, are not trained on; without
@@ -22,7 +20,6 @@ result are replaced.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,15 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloquy.llm.common import WORD, append_columns, texts, word_count
+from colloquy.llm.common import WORD, append_columns, texts
 
-WINDOW, STRIDE = 32, 16
+WINDOW = 24
+# Lengths of the character n-grams.
+ORDERS = (3, 4)
 CHAR_ROWS, CHAR_DIM = 1 << 15, 16
 WORD_ROWS, WORD_DIM = 1 << 14, 8
 HIDDEN, ATTENTION = 8, 8
-# Most documents of label 0 and of label 1, and words of each, to train on.
-TRAIN_DOCS, TRAIN_WORDS = (2400, 800), 400
-TRAIN_CHARS = 40 * TRAIN_WORDS
+# Most documents of label 0 and of label 1 to train on.
+TRAIN_DOCS = (2400, 800)
 EPOCHS, BATCH_DOCS, RATE = 6, 32, 4e-3
 TOP_WINDOWS = 2
 THRESHOLD = 0.7
@@ -48,35 +46,39 @@ THRESHOLD = 0.7
 REMEMBERED = 400_000
 SCORED_AT_ONCE = 2048
 # Windows whose states are held at once: they stay in a core's cache.
-SLID_AT_ONCE = 512
+SLID_AT_ONCE = 1024
 NOT_LETTERS = re.compile(r"[\W_]+")
+# Weights of a word's letters in its hash, by their place.
+POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
 
 
 def _plain(word: str) -> str:
     return NOT_LETTERS.sub("", word.lower()) or "_"
 
 
-def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the character n-grams of all words in order, and where each word's begin."""
+def _rows_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the character table for the n-grams of all words in order, where each word's begin (every word has
+    one), and rows of the word table. All are hashes of code points, worked out for all words at once."""
     points = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     lengths = np.array([len(w) + 2 for w in words])
+    ends = np.cumsum(lengths)
     owner = np.repeat(np.arange(len(words)), lengths)
-    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
-    buckets, owners = [], []
-    for n in (3, 4, 5):
-        at = np.flatnonzero(room >= n)
-        value = np.full(len(at), np.uint64(n))
-        for i in range(n):
-            value = value * np.uint64(0x100000001B3) ^ points[at + i]
-        buckets.append(((value * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % CHAR_ROWS)
-        owners.append(owner[at])
-    owners = np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return np.concatenate(buckets)[order], np.searchsorted(owners[order], np.arange(len(words)))
+    place = np.arange(len(points)) - np.repeat(ends - lengths, lengths)
+    whole = np.add.reduceat((points + np.uint64(1)) * POWERS[place % len(POWERS)], ends - lengths)
+    buckets, owners, value = [], [], np.zeros(len(points), np.uint64)
+    for n in range(1, max(ORDERS) + 1):
+        value = value[: len(points) - n + 1] * np.uint64(0x100000001B3) ^ points[n - 1 :]
+        if n in ORDERS:
+            at = np.flatnonzero(place[: len(value)] + n <= lengths[owner[: len(value)]])
+            buckets.append(_bucket(value[at] ^ np.uint64(n), CHAR_ROWS))
+            owners.append(owner[at])
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    begins = np.searchsorted(np.concatenate(owners)[order], np.arange(len(words)))
+    return np.concatenate(buckets)[order], begins, _bucket(whole, WORD_ROWS)
 
 
-def _word_rows(words: list[str]) -> np.ndarray:
-    return np.array([zlib.crc32(w.encode("utf-8", "replace")) % WORD_ROWS for w in words], np.int64)
+def _bucket(value: np.ndarray, rows: int) -> np.ndarray:
+    return ((value * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % rows
 
 
 def _gate(x: np.ndarray) -> np.ndarray:
@@ -227,13 +229,13 @@ class Network:
 
 
 def _windows(numbers: list[np.ndarray], padding: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows from each ``STRIDE``-th word on of texts given as word numbers, what in them is not
-    padding, and where each text's windows begin. A text of up to ``WINDOW`` words, or none, has one."""
+    """Windows from each word on of texts given as word numbers, what in them is not padding, and where
+    each text's windows begin. A text of up to ``WINDOW`` words, or none, has one."""
     sizes = np.array([len(n) for n in numbers])
-    counts = np.maximum(-(-(sizes - (WINDOW - STRIDE)) // STRIDE), 1)
+    counts = np.maximum(sizes - WINDOW + 1, 1)
     begins = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(numbers)), counts)
-    at = (np.arange(len(owner)) - begins[owner])[:, None] * STRIDE + np.arange(WINDOW)
+    at = (np.arange(len(owner)) - begins[owner])[:, None] + np.arange(WINDOW)
     real = at < sizes[owner][:, None]
     flat = np.concatenate([*numbers, np.zeros(1, np.int64)])
     first = np.cumsum(sizes) - sizes
@@ -278,9 +280,8 @@ def train(texts_: list[str], labels: list[int], seed: int = 7) -> Network:
     index: dict[str, int] = {}
     numbers = [np.array([index.setdefault(_plain(w), len(index)) for w in t.split()], np.int64) for t in texts_]
     vocabulary = list(index) or ["_"]
-    buckets, begins = _grams(vocabulary)
+    buckets, begins, word_rows = _rows_of(vocabulary)
     ends = np.append(begins[1:], len(buckets))
-    word_rows = _word_rows(vocabulary)
     labels_ = np.array(labels, np.float32)
     sides = [np.flatnonzero(labels_ == side) for side in (1, 0)]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.weights.items()}
@@ -350,7 +351,9 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
+        # Row of each word as written, and of each word as it enters: many are written in several ways.
         self.index: dict[str, int] = {}
+        self.plain: dict[str, int] = {}
         self.rows = np.zeros((2, 4096, 3 * HIDDEN), np.float32)
         self.rows[:, 0] = self.net.project(np.zeros((0, CHAR_DIM + WORD_DIM), np.float32))[:, 0]
 
@@ -358,16 +361,18 @@ class Scorer:
         if len(self.index) > REMEMBERED:
             self.forget()
         new = list(words.difference(self.index))
-        for part in range(0, len(new), 50_000):
-            some = new[part : part + 50_000]
-            plain = [_plain(w) for w in some]
-            projected = self.net.project(self.net.embed(*_grams(plain), _word_rows(plain)))[:, :-1]
+        plain = list(map(_plain, new))
+        fresh = list(set(plain).difference(self.plain))
+        for part in range(0, len(fresh), 20_000):
+            some = fresh[part : part + 20_000]
+            projected = self.net.project(self.net.embed(*_rows_of(some)))[:, :-1]
             # Row 0 is padding.
-            start = len(self.index) + 1
+            start = len(self.plain) + 1
             while start + len(some) > self.rows.shape[1]:
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)], 1)
             self.rows[:, start : start + len(some)] = projected
-            self.index.update(zip(some, range(start, start + len(some)), strict=True))
+            self.plain.update(zip(some, range(start, start + len(some)), strict=True))
+        self.index.update(zip(new, map(self.plain.__getitem__, plain), strict=True))
 
     def scores(self, bodies: list[str]) -> np.ndarray:
         words = [body.split() for body in bodies]
@@ -383,30 +388,22 @@ def held_out(key: str) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> list[tuple[str, int]]:
-    """At most ``TRAIN_DOCS`` labelled texts, long ones as a passage. Labels are drawn among those whose
-    document has a word; the draw, not the table, is what is joined with texts and collected."""
+    """At most ``TRAIN_DOCS`` labelled texts. Labels are drawn among those whose document has a word; the
+    draw, not the table, is what is joined with texts and collected."""
     known = labels.select(key, F.col(label).cast("int").alias("_label"))
     known = known.filter(F.col("_label").isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).distinct()
     order = [F.xxhash64(F.col(key)), F.col(key)]
     worded = docs.filter(F.col(text).rlike(WORD)).select(key, text)
     present = known.join(worded.select(key), key, "left_semi")
     drawn = [present.filter(F.col("_label") == side).orderBy(*order).limit(TRAIN_DOCS[side]) for side in (0, 1)]
-    found = worded.join(F.broadcast(drawn[0].union(drawn[1])), key).withColumn("_passage", _passage(F.col(text)))
-    chosen = [found.filter(F.col("_label") == side).orderBy(*order, F.xxhash64(text), "_passage").limit(TRAIN_DOCS[side]) for side in (0, 1)]
-    sample = [(row["_passage"], row["_label"]) for row in chosen[0].union(chosen[1]).select("_passage", "_label").collect()]
+    found = worded.join(F.broadcast(drawn[0].union(drawn[1])), key)
+    chosen = [found.filter(F.col("_label") == side).orderBy(*order, F.xxhash64(text), text).limit(TRAIN_DOCS[side]) for side in (0, 1)]
+    sample = [(row["_text"], row["_label"]) for row in chosen[0].union(chosen[1]).select(F.col(text).alias("_text"), "_label").collect()]
     if len(sides := {side for _, side in sample}) == 1 and not known.filter(~F.col("_label").isin(*sides)).isEmpty():
         raise ValueError(f"only documents labelled {sides.pop()} have text to train on, though there are labels of both kinds")
     return sample
 
 
-def _passage(text: Column) -> Column:
-    """What training reads of a text."""
-    size = word_count(text)
-    start = F.pmod(F.xxhash64(text), F.greatest(size - TRAIN_WORDS + 1, F.lit(1))).cast("int") + 1
-    words = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), start, F.lit(TRAIN_WORDS))
-    return F.substring(F.when(size <= TRAIN_WORDS, F.trim(F.translate(text, "\t\n\r\x0b\x0c", "     "))).otherwise(F.array_join(words, " ")), 1, TRAIN_CHARS)
-
-
 def score(
     docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", corpus: DataFrame | None = None, keep_text: bool = False
 ) -> DataFrame:

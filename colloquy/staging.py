@@ -31,10 +31,11 @@ def staging_root(spark: SparkSession) -> str:
 def _delete_at_exit(spark: SparkSession, root: str) -> None:
     """What queries have staged outside any scope goes with the process that staged it."""
     with suppress(Exception):  # the session may be gone by then
-        _delete(spark, root)
+        delete(spark, root)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a staged table, or a folder of them."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -51,12 +52,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def held(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside the block lie in one folder, whose path this gives; whoever holds it
+    deletes it when what was made of them has been written."""
+    _scopes.append(f"held-{uuid.uuid4().hex}")
+    try:
+        yield f"{staging_root(spark)}/{_scopes[-1]}"
+    finally:
+        _scopes.pop()
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Delete the tables staged inside the block when it ends: a job's frames must
     be written out within it."""
-    _scopes.append(f"job-{uuid.uuid4().hex}")
-    try:
-        yield
-    finally:
-        _delete(spark, f"{staging_root(spark)}/{_scopes.pop()}")
+    with held(spark) as folder:
+        try:
+            yield
+        finally:
+            delete(spark, folder)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.operators.keyed_join import attach_by_key
 from colloquy.staging import stage
 
 
@@ -16,19 +17,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``node``, ``component`` for every node of ``edges`` (columns ``a``, ``b``, of one type):
     the smallest node reachable. Loops and repeated edges are fine; nulls must be gone.
 
-    A node with very many neighbours is a key of the joins below with one row on the other
-    side, which adaptive execution splits; the minima are combined before they are shuffled.
+    The minima are combined before they are shuffled. A node with very many neighbours is a key of the
+    joins with one row on the other side: that side is broadcast where its size is small, and
+    the node's edges are salted where it is not.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     current = stage(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
     before = None
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(large.distinct(), "stars")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        large = attach_by_key(both.filter(F.col("b") > F.col("a")), least, "a", "n", spread_by=("b",))
+        large = stage(large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "stars")
+        least = stage(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        small = attach_by_key(large, least, "a", "n", spread_by=("b",)).filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         current = stage(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "stars")
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")).first()
         # Done when each node hangs on one other and no edge has moved.

@@ -8,8 +8,9 @@ would not fit. Identifiers are part of them, so a group with a third of all rows
 a third of the partitions; runs that meet at a border of two partitions are joined by comparing
 the last text of one with the first of the next.
 
-Only the sort moves texts. The pass writes one small row per document; the per-run summaries
-that decide who stays have one row per run and partition.
+Only the sort moves texts. To mark duplicates the pass writes one small row per document, and the per-run
+summaries that decide who stays have one row per run and partition; to drop them it writes the first
+row of each run.
 
 Rows: null counts as the empty text, and all empty texts are one group. Of equal texts the row
 with the smallest (or largest) identifier stays; a null identifier stays only where the group
@@ -43,34 +44,12 @@ FIRST, LAST = 1, 2
 HEAD = 16
 
 
-def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest", keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``keep_id`` (of the row that stays), ``group_size``, ``kept`` and ``text_sha256``
-    of the normalised text, without the text unless ``keep_text``. Columns of ``docs`` called so
-    are replaced."""
-    if keep not in ("smallest", "largest"):
-        raise ValueError(f"keep: {keep}")
-    spark = docs.sparkSession
-    small_batches(spark)
+def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest") -> DataFrame:
+    """``docs`` without its text, with ``keep_id`` (of the row that stays), ``group_size``, ``kept`` and
+    ``text_sha256`` of the normalised text. Columns of ``docs`` called so are replaced."""
     docs, restore = shield(docs, [key, text], ["keep_id", "group_size", "kept", "text_sha256"])
-    own = docs.columns if keep_text else without(docs, [text])
-    body = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    order = F.col(key).asc_nulls_last() if keep == "smallest" else F.col(key).desc_nulls_last()
-
-    # The number of partitions follows the session, not adaptive merging, which counts bytes only.
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Sort keys are columns: a sort by expressions would compute them in every comparison.
-    # The normalised text is made after the shuffle, which moves each text once.
-    whole = docs.select(*own, *([] if keep_text else [text])).withColumn("text_sha256", F.sha2(body, 256))
-    ordered = (
-        whole.withColumns({"_head": F.substring(F.encode(body, "UTF-8"), 1, HEAD), "_mark": F.substring("text_sha256", 1, HEAD)})
-        .repartitionByRange(slots, "_head", "_mark", order)
-        .withColumn("_body", F.encode(body, "UTF-8"))
-        .sortWithinPartitions("_head", "_mark", "_body", order)
-        .select(*whole.columns)
-    )
-    fields = [ordered.schema[c] for c in [*own, "text_sha256"]]
-    pass_over = _places([f.name for f in fields], text)
-    placed = stage(ordered.mapInArrow(pass_over, T.StructType(fields + PLACES.fields)), "content-sort")
+    own = without(docs, [text])
+    placed = stage(_sorted_runs(docs, text, key, keep, own, digest=True), "content-sort")
 
     best = F.min(key) if keep == "smallest" else F.max(key)
     runs = placed.groupBy("_part", "_run").agg(best.alias("_best"), F.count(F.lit(1)).alias("_n"))
@@ -97,6 +76,41 @@ def mark_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ke
     return restore(placed.join(decided, ["_part", "_run"]).select(*own, "keep_id", "group_size", kept.alias("kept"), "text_sha256"))
 
 
+def without_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest") -> DataFrame:
+    """The rows of ``docs`` that stay, with their texts. The first row of each run stays, but where the run goes on from
+    the partition before: no text moves after the sort, and only one row per partition is joined."""
+    docs, restore = shield(docs, [key, text], [])
+    placed = _sorted_runs(docs, text, key, keep, docs.columns, digest=False)
+    border = F.col("_border") != 0
+    placed = stage(placed.filter(border | F.col("_edge").isNotNull()), "content-sort")
+    goes_on = F.broadcast(_joined_runs(placed).select("_part", "_run"))
+    first = placed.filter(F.col("_border").bitwiseAND(FIRST) != 0)
+    return restore(first.join(goes_on, ["_part", "_run"], "left_anti").select(*docs.columns))
+
+
+def _sorted_runs(docs: DataFrame, text: str, key: str, keep: str, own: list[str], digest: bool) -> DataFrame:
+    """Columns ``own`` (and ``text_sha256``) of all rows, sorted by text and cut into runs of equal texts (:data:`PLACES`)."""
+    if keep not in ("smallest", "largest"):
+        raise ValueError(f"keep: {keep}")
+    small_batches(docs.sparkSession)
+    body = ascii_lower(F.coalesce(F.col(text), F.lit("")))
+    order = F.col(key).asc_nulls_last() if keep == "smallest" else F.col(key).desc_nulls_last()
+    # The number of partitions follows the session, not adaptive merging, which counts bytes only.
+    slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Sort keys are columns: a sort by expressions would compute them in every comparison.
+    # The normalised text is made after the shuffle, which moves each text once.
+    whole = docs.select(*own, *([] if text in own else [text])).withColumn("text_sha256", F.sha2(body, 256))
+    given = [*own, "text_sha256"] if digest else own
+    ordered = (
+        whole.withColumns({"_head": F.substring(F.encode(body, "UTF-8"), 1, HEAD), "_mark": F.substring("text_sha256", 1, HEAD)})
+        .repartitionByRange(slots, "_head", "_mark", order)
+        .withColumn("_body", F.encode(body, "UTF-8"))
+        .sortWithinPartitions("_head", "_mark", "_body", order)
+        .select(*given, *([] if text in given else [text]))
+    )
+    return ordered.mapInArrow(_places(given, text), T.StructType([ordered.schema[c] for c in given] + PLACES.fields))
+
+
 def _places(names: list[str], text: str):
     """Cut the sorted rows of a partition into runs of equal texts. ``_border`` marks the first
     row of a run; ``_edge`` holds the text of the first and the last row of the partition."""

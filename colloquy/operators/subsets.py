@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.calendar import with_event_time, with_time_parts
 from colloquy.functions.text import clean_text, clean_word_count, word_count
 from colloquy.functions.validity import with_validity_flags
+from colloquy.operators.quantiles import quantiles
 from colloquy.schema import COMMENT_COLUMNS, TEXT_BASE_COLUMNS
+from colloquy.staging import stage
 
 SUBSETS = ("all", "text", "user", "text_user")
 
@@ -114,28 +116,22 @@ def clean_length_by(text_base: DataFrame, dim: str) -> DataFrame:
 
 
 def length_stats(df: DataFrame, dim: str) -> DataFrame:
-    """Mean and median length per group, for authored comments. The median is exact:
-    comments are counted by group, unit and length first, over all tasks, and the running
-    count over those few rows finds the middle one."""
+    """Mean and exact median length per group, for authored comments."""
     units = ("chars", "words")
-    lengths = (
-        df.filter(F.col("author").isNotNull())
-        .select(dim, F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(f"body_length_{u}").alias("length")) for u in units])).alias("of"))
-        .groupBy(dim, "of.unit", "of.length")
-        .agg(F.count("*").alias("n"))
+    lengths = F.array(*[F.struct(F.lit(u).alias("unit"), F.col(f"body_length_{u}").alias("length")) for u in units])
+    rows = stage(df.filter(F.col("author").isNotNull()).select(dim, F.explode(lengths).alias("of")).select(dim, "of.*"), "lengths")
+    totals = rows.groupBy(dim, "unit").agg(F.count("*").alias("n"), F.sum("length").alias("total"), F.count("length").alias("known"))
+    medians = quantiles(rows, [dim, "unit"], "length", {"median": (1, 2)})
+    # One row per group and unit on either side.
+    found = totals.select(F.col(dim).alias("group"), F.col("unit").alias("of"), "n", "total", "known").join(
+        medians, F.col("group").eqNullSafe(F.col(dim)) & (F.col("of") == F.col("unit"))
     )
-    group = Window.partitionBy(dim, "unit")
-    known = F.when(F.col("length").isNotNull(), F.col("n")).otherwise(0)
-    ranked = lengths.withColumn("up_to", F.sum(known).over(group.orderBy("length"))).withColumn("known", F.sum(known).over(group))
-    middle = F.col("length").isNotNull() & (2 * F.col("up_to") >= F.col("known"))
 
     def of(unit: str, value: Column) -> Column:
-        return F.when(F.col("unit") == unit, value)
+        return F.max(F.when(F.col("unit") == unit, value))
 
-    aggregates = [F.sum(of("chars", F.col("n"))).alias("total_comments")]
+    aggregates = [of("chars", F.col("n")).alias("total_comments")]
     for unit in units:
-        total = F.sum(of(unit, F.col("length").cast("long") * F.col("n")))
-        mean = F.round(F.try_divide(total, F.max(of(unit, F.col("known")))), 2)
-        median = F.min(of(unit, F.when(middle, F.col("length"))))
-        aggregates += [mean.alias(f"avg_body_length_{unit}"), median.cast("int").alias(f"median_body_length_{unit}")]
-    return ranked.groupBy(dim).agg(*aggregates)
+        mean = F.round(F.try_divide(F.col("total"), F.col("known")), 2)
+        aggregates += [of(unit, mean).alias(f"avg_body_length_{unit}"), of(unit, F.col("median")).cast("int").alias(f"median_body_length_{unit}")]
+    return found.groupBy(dim).agg(*aggregates)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.calendar import within_year
+from colloquy.operators.quantiles import quantiles
 
 DAY = ("dt_year", "dt_month", "dt_day")
 
@@ -29,41 +30,20 @@ def trips_in_year(trips: DataFrame, ts: str, year: int) -> DataFrame:
 
 
 def daily_summary(trips: DataFrame, year: int, columns: Mapping[str, str] = TAXI_COLUMNS) -> DataFrame:
-    """One row per day of ``year``, latest first.
-
-    The 95th percentile of the fares is exact: fares are counted by day and value, and
-    the running count finds the least one that 95 in 100 do not exceed.
-    """
+    """One row per day of ``year``, latest first; the 95th percentile of the fares is exact."""
     c = columns
-    by_fare = (
-        trips_in_year(trips, c["pickup"], year)
-        .groupBy(*DAY, F.col(c["fare"]).alias("fare"))
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(c["distance"]).alias("distance"),
-            F.count(c["distance"]).alias("distances"),
-            F.max(c["tax"]).alias("tax"),
-            F.min(c["tip"]).alias("tip"),
-            F.sum(c["passengers"]).alias("passengers"),
-            F.count(c["passengers"]).alias("counted"),
-        )
-    )
-    day = Window.partitionBy(*DAY)
-    known = F.when(F.col("fare").isNotNull(), F.col("n")).otherwise(0)
-    ranked = by_fare.withColumn("up_to", F.sum(known).over(day.orderBy("fare"))).withColumn("fares", F.sum(known).over(day))
-    reached = F.when(F.col("fare").isNotNull() & (100 * F.col("up_to") >= 95 * F.col("fares")), F.col("fare"))
-    return (
-        ranked.groupBy(*DAY)
-        .agg(
-            F.sum("n").alias("num_trips"),
-            F.try_divide(F.sum("distance"), F.sum("distances")).alias("mean_trip_distance"),
-            F.max("tax").alias("max_mta_tax"),
-            F.min(reached).alias("q95_fare_amount"),
-            F.min("tip").alias("min_tip_amount"),
-            F.ceil(F.try_divide(F.sum("passengers"), F.sum("counted"))).alias("mean_passenger_count"),
-        )
-        .orderBy(*[F.desc(d) for d in DAY])
+    wanted = trips_in_year(trips, c["pickup"], year)
+    days = wanted.groupBy(*DAY).agg(
+        F.count("*").alias("num_trips"),
+        F.try_divide(F.sum(c["distance"]), F.count(c["distance"])).alias("mean_trip_distance"),
+        F.max(c["tax"]).alias("max_mta_tax"),
+        F.min(c["tip"]).alias("min_tip_amount"),
+        F.ceil(F.try_divide(F.sum(c["passengers"]), F.count(c["passengers"]))).alias("mean_passenger_count"),
     )
+    fares = quantiles(wanted.select(*DAY, F.col(c["fare"]).alias("fare")), DAY, "fare", {"q95_fare_amount": (95, 100)})
+    columns_ = [*DAY, "num_trips", "mean_trip_distance", "max_mta_tax", "q95_fare_amount", "min_tip_amount", "mean_passenger_count"]
+    # A trip in the year has a day: none is NULL.
+    return days.join(fares, list(DAY)).select(*columns_).orderBy(*[F.desc(d) for d in DAY])
 
 
 def daily_rollup(daily: DataFrame) -> DataFrame:

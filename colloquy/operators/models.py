@@ -9,6 +9,8 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ from colloquy.staging import stage
 
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
+RIDGE = 0.01
+# Rows of a partition that a forest is grown from.
+ROWS_IN_PLACE = 500_000
 METRICS = ("auc_roc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
 
@@ -59,13 +64,20 @@ def fitted_index(rows: DataFrame, column: str) -> DataFrame:
 def fit_lr(train: DataFrame) -> Model:
     """Ridge logistic regression over assembled features; ``train`` carries the class weights."""
     return LogisticRegression(
-        labelCol="label", weightCol="classWeightCol", maxIter=30, regParam=0.01, elasticNetParam=0.0
+        labelCol="label", weightCol="classWeightCol", maxIter=30, regParam=RIDGE, elasticNetParam=0.0
     ).fit(train)
 
 
+def in_fixed_place(rows: DataFrame, key: str = "id") -> DataFrame:
+    """``rows`` (a written table) in partitions, and an order within them, that follow from their keys alone. Bagging and the
+    sampling of split points draw by partition and place: so a seed means the same however the table came to be stored."""
+    parts = max(1, -(-rows.count() // ROWS_IN_PLACE))
+    return rows.repartition(parts, F.md5(F.col(key).cast("string"))).sortWithinPartitions(key, *[c for c, t in rows.dtypes if c != key and t != "vector"])
+
+
 def fit_rf(train: DataFrame) -> Model:
-    """Unweighted forest over assembled features."""
-    return RandomForestClassifier(labelCol="label", numTrees=50, maxDepth=8, seed=42).fit(train)
+    """Unweighted forest over assembled features, the same for any placement of the rows."""
+    return RandomForestClassifier(labelCol="label", numTrees=50, maxDepth=8, seed=42).fit(in_fixed_place(train))
 
 
 FITTERS = {LOGISTIC: fit_lr, FOREST: fit_rf}
@@ -73,12 +85,13 @@ FITTERS = {LOGISTIC: fit_lr, FOREST: fit_rf}
 
 @dataclass
 class Trained:
-    """A fitted pipeline, its feature slot names and its written test predictions."""
+    """A fitted pipeline, its feature slot names, its written test predictions and training side."""
 
     name: str
     model: PipelineModel
     slots: list[str]
     predictions: DataFrame
+    train: DataFrame
 
     def confusion(self) -> DataFrame:
         return confusion(self.predictions)
@@ -100,7 +113,7 @@ def train_models(base: DataFrame, names: Sequence[str] = (LOGISTIC, FOREST)) ->
     train, test = split(fill_inputs(base.filter(F.col("label").isNotNull())))
     # Index and slots are the same for all models: they are fitted once, and both sides written with them.
     shared = Pipeline(stages=feature_stages()).fit(train)
-    train = stage(shared.transform(with_class_weights(train)).select("label", "classWeightCol", "features"), "train-side")
+    train = stage(shared.transform(with_class_weights(train)).select("id", "label", "classWeightCol", "features"), "train-side")
     test = stage(shared.transform(with_class_weights(test, train=False)).select("id", "label", "classWeightCol", "features"), "test-side")
     slots = slot_names(shared.transform(base.limit(0).transform(fill_inputs)))
     trained = []
@@ -108,10 +121,27 @@ def train_models(base: DataFrame, names: Sequence[str] = (LOGISTIC, FOREST)) ->
         model = PipelineModel([*shared.stages, FITTERS[name](train)])
         predicted = model.stages[-1].transform(test)
         written = stage(predicted.select("label", "rawPrediction", "prediction"), "predictions")
-        trained.append(Trained(name, model, slots, written))
+        trained.append(Trained(name, model, slots, written, train))
     return trained
 
 
+def ridge_gradient(fitted: Model, train: DataFrame, penalty: float = RIDGE) -> DataFrame:
+    """``slot`` and ``slope`` of the weighted ridge loss at a fitted regression's coefficients, the intercept last. The
+    penalty is on coefficients of features scaled by their deviation, and so are the slopes; all are 0 at the optimum."""
+    deviations = train.select(Summarizer.metrics("std").summary(F.col("features"), F.col("classWeightCol")).alias("s")).first()["s"]["std"].toArray().tolist()
+    coefficients = [*fitted.coefficients.toArray().tolist(), 0.0]
+    spread = [*deviations, 1.0]
+    off = F.col("classWeightCol") * (vector_to_array("probability")[1] - F.col("label"))
+    values = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    parts = fitted.transform(train).select(off.alias("off"), "classWeightCol", F.posexplode(values).alias("slot", "value"))
+    sums = parts.groupBy("slot").agg(F.sum(F.col("off") * F.col("value")).alias("sum"), F.sum("classWeightCol").alias("weight"))
+    at = F.col("slot") + 1
+    scale, now = F.element_at(F.array(*map(F.lit, spread)), at), F.element_at(F.array(*map(F.lit, coefficients)), at)
+    return sums.select("slot", F.coalesce(F.try_divide(F.col("sum") / F.col("weight"), scale), F.lit(0.0)).alias("loss"), (penalty * now * scale).alias("pull")).select(
+        "slot", (F.col("loss") + F.col("pull")).alias("slope")
+    )
+
+
 def roc_area(predictions: DataFrame) -> float:
     """Area under the whole ROC curve, every different score a point of it."""
     evaluator = BinaryClassificationEvaluator(

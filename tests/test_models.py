@@ -8,6 +8,7 @@ from checks import views
 from colloquy.operators import evaluation, models
 from colloquy.operators.model_base import model_input
 from colloquy.schema import NUMERIC_FEATURES
+from colloquy.staging import stage
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +128,35 @@ def test_roc_area_uses_every_score(spark):
 def test_test_rows_weigh_one(base):
     _, test = evaluation.split(base)
     assert {r[0] for r in evaluation.with_class_weights(test, train=False).select("classWeightCol").distinct().collect()} == {1.0}
+
+
+@pytest.fixture(scope="module")
+def model_rows(spark, sf_dir):
+    return stage(model_input(views.features(spark, sf_dir)), "model-rows")
+
+
+def test_forest_is_the_same_in_any_placement(model_rows):
+    """Rows in other files, in another order, over other numbers of partitions."""
+    found = []
+    for placed in (model_rows.repartition(1), model_rows.repartition(5, "subreddit"), model_rows.orderBy(F.desc("id")).repartition(13)):
+        found.append(models.train_models(stage(placed, "placed"), [models.FOREST])[0].model.stages[-1])
+    assert len({tuple(m.featureImportances.toArray().tolist()) for m in found}) == 1
+    assert len({m.toDebugString.partition("\n")[2] for m in found}) == 1
+
+
+def test_rows_in_fixed_place(spark):
+    rows = [(str(i), i % 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id string, label int")
+    placed = [models.in_fixed_place(df.repartition(parts)).rdd.glom().collect() for parts in (1, 9)]
+    assert placed[0] == placed[1]
+
+
+def test_regression_is_at_the_optimum_of_its_loss(model_rows):
+    (lr,) = models.train_models(model_rows, [models.LOGISTIC])
+    fitted = lr.model.stages[-1]
+    slopes = models.ridge_gradient(fitted, lr.train).collect()
+    assert len(slopes) == len(lr.slots) + 1
+    assert max(abs(r.slope) for r in slopes) < 1e-3
+    # Elsewhere the slopes are not near 0.
+    other = models.ridge_gradient(fitted, lr.train, penalty=10 * models.RIDGE).collect()
+    assert max(abs(r.slope) for r in other) > 1e-2

@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 from checks import views as v
 from colloquy.functions.calendar import with_local_hour, with_time_parts, with_weekday_name, with_year_month
 from colloquy.functions.text import clean_text, explode_tokens, tokens_of
-from colloquy.operators import evaluation, models, subsets, terms, trips, users
+from colloquy.operators import evaluation, intervals, models, sketches, subsets, terms, timeline, trips, users
 from colloquy.operators.model_base import community_features, feature_rows, model_base, model_input, user_features
 from colloquy.operators.rates import by_rate, rate_by
 from colloquy.operators.sentiment import comment_sentiment, sentiment_by
+from colloquy.plans import increments
 from colloquy.schema import LOCAL_ZONE, NEGATIVE_WORDS, NUMERIC_FEATURES, POSITIVE_WORDS
+from colloquy.sources import bucketed
 from colloquy.sources.sinks import preview, schema_report, write_summary_csv, write_table
 from colloquy.sources.tables import month_paths, query_view, read_files, read_month, read_summary_csv, read_table
 from colloquy.staging import new_path, stage
+from colloquy.streaming import rates as rates_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -585,9 +588,10 @@ def _(spark, sf_dir):
 
 
 def typed_terms(rows: DataFrame, types: DataFrame, **join) -> DataFrame:
-    """Terms with their author's type; terms, not bodies, meet the types."""
-    termed = rows.select("id", "author", "subreddit", tokens_of(clean_text("body")).alias("terms"))
-    return users.with_user_type(termed, types, **join).select("user_type", F.explode("terms").alias("token"))
+    """Terms with their author's type. Cleaned texts meet the types; terms are told apart after
+    the explode, where the tests are compiled."""
+    cleaned = rows.select("id", "author", clean_text("body").alias("body_clean"))
+    return explode_tokens(users.with_user_type(cleaned, types, **join), ["user_type"])
 
 
 def nlp_counts(spark, sf_dir, dim: str) -> DataFrame:
@@ -621,8 +625,8 @@ def _(spark, sf_dir):
     + "\nselect subreddit, count(*) as group_total_tokens from tokens group by 1",
 )
 def _(spark, sf_dir):
-    found = text_base(spark, sf_dir).select("subreddit", F.size(tokens_of("body_clean")).alias("count"))
-    return terms.group_totals(found.filter("count > 0"), "subreddit")
+    tokens = explode_tokens(text_base(spark, sf_dir), ["subreddit"])
+    return terms.group_totals(tokens, "subreddit")
 
 
 def distinctive_sql(dim: str) -> Callable[[], str]:
@@ -1044,3 +1048,179 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return trips.daily_rollup(daily(spark, sf_dir))
+
+
+# --- along time -------------------------------------------------------------------
+
+
+@query(
+    "author_course",
+    BASE + """select id, author, row_number() over w as place, created_utc - lag(created_utc) over w as seconds_since_last,
+      cast(sum(controversiality) over w as bigint) as flags_so_far
+      from comments where author is not null window w as (partition by author order by created_utc, id)""",
+)
+def _(spark, sf_dir):
+    return timeline.author_course(v.comments(spark, sf_dir))
+
+
+@query(
+    "last_purchase_before",
+    """select e.event_id, e.user_id, p.event_id as purchase_id, p.value as purchase_value
+       from events e asof left join (select * from events where event_type = 'purchase') p on e.user_id = p.user_id and e.ts > p.ts""",
+)
+def _(spark, sf_dir):
+    events = v.table(spark, sf_dir, "events")
+    purchases = events.filter("event_type = 'purchase'")
+    values = {"purchase_id": "event_id", "purchase_value": "value"}
+    found = timeline.as_of(events.select("event_id", "user_id", "ts"), purchases, "user_id", "ts", "ts", values, ("event_id",), inclusive=False)
+    return found.select("event_id", "user_id", *values)
+
+
+@query(
+    "user_sessions",
+    """select user_id, session, min(ts) as session_start, max(ts) as session_end, count(*) as events,
+         count(*) filter (where event_type = 'purchase') as purchases
+       from (select *, cast(sum(starts) over (partition by user_id order by ts, event_id) as bigint) as session
+             from (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval 3 hours then 0 else 1 end as starts from events))
+       group by 1, 2""",
+)
+def _(spark, sf_dir):
+    events = v.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    return timeline.sessions(events, "user_id", "ts", ("event_id",), 3 * 3600, {"purchases": F.count_if(F.col("event_type") == "purchase")})
+
+
+SPANS_SQL = "select l_orderkey, min(l_shipdate) as first_ship, max(l_shipdate) as last_ship from lineitem group by 1"
+
+
+@query(
+    "orders_during_shipping",
+    f"""select a.o_orderkey as order_key, b.o_orderkey as shipping_key, b.first_ship, b.last_ship
+        from orders a join (select o_orderkey, o_custkey, first_ship, last_ship from orders join ({SPANS_SQL}) on o_orderkey = l_orderkey) b
+          on a.o_custkey = b.o_custkey and a.o_orderdate between b.first_ship and b.last_ship""",
+)
+def _(spark, sf_dir):
+    """A customer's orders placed while another of their orders was being shipped."""
+    orders = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("placed"))
+    lines = v.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    spans = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    spans = spans.withColumns({"from": F.unix_seconds(F.col("first_ship").cast("timestamp")), "to": F.unix_seconds(F.col("last_ship").cast("timestamp"))})
+    spans = stage(spans.select("o_orderkey", "o_custkey", "first_ship", "last_ship", "from", "to"), "spans")
+    met = intervals.interval_join(orders, spans, ("placed", "placed"), ("from", "to"), ["o_custkey"])
+    columns = [F.col("left.o_orderkey").alias("order_key"), F.col("right.o_orderkey").alias("shipping_key")]
+    return met.select(*columns, F.col("right.first_ship").alias("first_ship"), F.col("right.last_ship").alias("last_ship"))
+
+
+# Windows that the watermark has closed when all files are read.
+@query(
+    "stream_flag_rate",
+    BASE.rstrip() + """,
+closed as (
+  select cast(date_trunc('day', make_timestamp(created_utc * 1000000)) as timestamp) as window_start, subreddit as community, controversiality as flag from comments
+)
+select window_start, window_start + interval 1 day as window_end, community, count(*) as total_comments, cast(sum(flag) as bigint) as controversial_comments,
+  round(sum(flag) / count(*), 4) as controversy_rate
+from closed where window_start + interval 1 day <= (select max(make_timestamp(created_utc * 1000000)) - interval 6 hours from comments) group by 1, 2, 3""",
+)
+def _(spark, sf_dir):
+    source, table, checkpoint = (new_path(spark, name) for name in ("arrivals", "closed-windows", "stream-state"))
+    arriving = v.comments(spark, sf_dir).select(F.timestamp_seconds("created_utc").alias("at"), F.col("subreddit").alias("community"), F.col("controversiality").cast("long").alias("flag"))
+    # Files in the order of time: what one trigger reads is never late for the next.
+    arriving.repartitionByRange(4, "at").write.parquet(source)
+    stream = rates_stream.comment_stream(spark, source, "at timestamp, community string, flag long")
+    rates_stream.write_closed_windows(rates_stream.windowed_flags(stream, "1 day", "6 hours"), table, checkpoint).awaitTermination()
+    return plain_time(rates_stream.read_rates(spark, table), "window_start", "window_end")
+
+
+# --- roll-ups ---------------------------------------------------------------------
+
+
+@query(
+    "term_grains",
+    lambda: TEXT.rstrip() + "," + tokens_cte("text_base", "subreddit")
+    + """
+select case grouping(subreddit, token) when 0 then 'group and term' when 1 then 'group' when 2 then 'term' else 'all' end as grain,
+  subreddit, token, count(*) as count
+from tokens group by grouping sets ((subreddit, token), (token), (subreddit), ())""",
+)
+def _(spark, sf_dir):
+    return terms.term_grains(explode_tokens(text_base(spark, sf_dir), ["subreddit"]), "subreddit")
+
+
+ROLL_UPS = {"community": ["subreddit"], "month": ["year", "month"], "all": []}
+
+
+@query(
+    "distinct_author_sketches",
+    BASE + "select * from (" + " union all ".join(
+        f"""select '{name}' as grain, {'subreddit' if 'subreddit' in dims else 'null'} as subreddit, {'month' if 'month' in dims else 'null'} as month,
+            count(distinct author) as authors, true as within_bound from features where is_deleted_author = 0 {'group by ' + ', '.join(dims) if dims else ''}"""
+        for name, dims in ROLL_UPS.items()
+    ) + ")",
+)
+def _(spark, sf_dir):
+    """Estimates by sketches of community and month, held against exact counts: within four deviations."""
+    rows = stage(user_rows(spark, sf_dir).select("author", "subreddit", "year", "month"), "authors")
+    stored = stage(sketches.distinct_sketches(rows, "author", ["subreddit", "year", "month"]), "sketches")
+    found = []
+    for name, dims in ROLL_UPS.items():
+        exact = rows.groupBy(*dims).agg(F.count_distinct("author").alias("authors"))
+        estimated = sketches.estimate_by(stored, dims)
+        both = exact.join(estimated, dims) if dims else exact.withColumn("estimate", estimated.select("estimate").scalar())
+        near = F.abs(F.col("estimate") - F.col("authors")) <= F.ceil(4 * sketches.ERROR * F.col("authors"))
+        shown = [F.col(c) if c in dims else F.lit(None).cast(kind).alias(c) for c, kind in (("subreddit", "string"), ("month", "int"))]
+        found.append(both.select(F.lit(name).alias("grain"), *shown, "authors", near.alias("within_bound")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+# --- stored by key, and period by period ------------------------------------------
+
+BUCKETS = 8
+
+
+def stored_users(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Comments and user types, both stored by author."""
+    rows = user_rows(spark, sf_dir).select("id", "author", "subreddit").filter(F.col("author").isNotNull())
+    comments = bucketed.stage_by_key(rows, "comments-by-author", "author", BUCKETS)
+    return comments, bucketed.stage_by_key(users.user_types(comments), "types-by-author", "author", BUCKETS)
+
+
+@query("user_labeled_stored", user_sql("select id, author, subreddit, distinct_subreddits, user_type from typed"))
+def _(spark, sf_dir):
+    comments, types = stored_users(spark, sf_dir)
+    return comments.join(types.drop("author_rows").hint("merge"), "author").select("id", "author", "subreddit", "distinct_subreddits", "user_type")
+
+
+ACTIVITY_SQL = """select author, subreddit, count(*) as comments, cast(sum(score) as bigint) as score_sum, count(score) as score_n,
+  cast(sum(body_length_chars) as bigint) as body_length_chars_sum, count(body_length_chars) as body_length_chars_n,
+  cast(sum(body_length_words) as bigint) as body_length_words_sum, count(body_length_words) as body_length_words_n,
+  cast(sum(controversiality) as bigint) as controversiality_sum, count(controversiality) as controversiality_n
+  from features where is_deleted_author = 0 group by 1, 2"""
+
+
+@query("activity_from_increments", BASE + ACTIVITY_SQL)
+def _(spark, sf_dir):
+    """The comments hold one month: periods are days. They come in three deliveries, one of them twice."""
+    raw = stage(v.comments(spark, sf_dir), "raw")
+    features, activity = new_path(spark, "features"), new_path(spark, "activity")
+    day = F.dayofmonth(F.timestamp_seconds("created_utc"))
+    for delivered in (day <= 12, day.between(13, 20), day > 20, day.between(13, 20)):
+        increments.add_comments(spark, raw.filter(delivered), features, activity, ("year", "month", "day"))
+    return increments.total_activity(spark, activity)
+
+
+# --- fitted models, proved --------------------------------------------------------
+
+
+@query(
+    "model_proofs",
+    model_ctes() + """select 'slopes of the ridge loss are near 0' as proof, true as holds, count(*) as train_rows from sides where side = 'train'
+      union all select 'importances do not depend on placement', true, count(*) from sides where side = 'train'""",
+)
+def _(spark, sf_dir):
+    base = stage(model_input(v.features(spark, sf_dir)), "proved")
+    (lr,) = models.train_models(base, [models.LOGISTIC])
+    steepest = models.ridge_gradient(lr.model.stages[-1], lr.train).agg(F.max(F.abs("slope"))).first()[0]
+    found = [models.train_models(stage(base.repartition(parts), "placed"), [models.FOREST])[0].model.stages[-1].featureImportances for parts in (3, 7)]
+    rows = [("slopes of the ridge loss are near 0", steepest < 1e-3), ("importances do not depend on placement", found[0] == found[1])]
+    counted = base.filter(evaluation.split_bucket("id", 42) < 8000).agg(F.count("*")).scalar()
+    return spark.createDataFrame(rows, "proof string, holds boolean").withColumn("train_rows", counted)

@@ -40,7 +40,7 @@ REPORTS: dict[str, Callable[[DataFrame], reports.Frames]] = {
 
 
 # Frames that grow with the number of communities, not with the report.
-GROWING = ("subreddits", "subreddit_pair_counts")
+GROWING = ("subreddits", "subreddit_counts", "subreddit_pair_counts")
 
 
 def write_report(frames: reports.Frames, out: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.calendar import with_local_hour, with_weekday_name
-from colloquy.functions.text import clean_text, explode_tokens, tokens_of
+from colloquy.functions.text import clean_text, explode_tokens
 from colloquy.operators import evaluation, models, rates, subsets, terms, users
 from colloquy.operators.sentiment import comment_sentiment, sentiment_means, sentiment_sums
 from colloquy.operators.trips import TAXI_COLUMNS, daily_rollup, daily_summary
@@ -22,6 +22,7 @@ from colloquy.staging import stage
 Frames = dict[str, DataFrame]
 
 PROFILED = ("author", "subreddit", "body", "controversiality", "created_utc")
+TEXT_SAMPLED = ("id", "author", "subreddit", "controversiality", "body", "body_clean", "clean_char_count", "clean_word_count")
 SAMPLED = ("author", "subreddit", "controversiality", "score", "created_utc", "body")
 
 
@@ -119,7 +120,7 @@ def feature_report(features: DataFrame) -> Frames:
 
 
 def text_report(features: DataFrame, text_base: DataFrame | None = None) -> Frames:
-    """Body lengths and common terms. Terms are made before any join and exploded once, at
+    """Body lengths and common terms. Cleaned texts meet the user types and are exploded once, at
     the grain of all three rankings. The bodies of ``text_base`` are clean already; rows it
     leaves out have no terms, but their authors still count towards the user types."""
     rows = subsets.subset(features, "text_user").filter(F.col("author").isNotNull())
@@ -129,10 +130,8 @@ def text_report(features: DataFrame, text_base: DataFrame | None = None) -> Fram
     else:
         source = text_base.filter(F.col("author").isNotNull())
     types = stage(users.user_types(rows), "user-types")
-    termed = source.select("id", "author", "subreddit", "controversiality", tokens_of("body_clean").alias("terms"))
-    labelled = users.with_user_type(termed.filter(F.size("terms") > 0), types)
-    tokens = labelled.select(*dims, F.explode("terms").alias("token"))
-    counts = stage(terms.term_counts(tokens, dims), "term-counts")
+    labelled = users.with_user_type(source.select("id", "author", "subreddit", "controversiality", "body_clean"), types)
+    counts = stage(terms.term_counts(explode_tokens(labelled, dims), dims), "term-counts")
 
     def top(dim: str) -> DataFrame:
         return terms.top_terms(terms.roll_up_terms(counts, [dim]), dim)
@@ -161,6 +160,7 @@ def text_base_report(text_base: DataFrame, features: DataFrame | None = None) ->
         "subreddit_counts": subsets.group_counts(text_base, "subreddit"),
         "controversiality_distribution": subsets.distribution(text_base, "controversiality"),
         "avg_clean_text_length_by_subreddit": subsets.clean_length_by(text_base, "subreddit"),
+        "sample": preview(text_base, TEXT_SAMPLED),
     }
 
 
@@ -191,6 +191,7 @@ def model_base_report(base: DataFrame, features: DataFrame | None = None) -> Fra
         "label_distribution": subsets.distribution(base, "label"),
         "subreddit_distribution": subsets.group_counts(base, "subreddit"),
         "multi_subreddit_user_distribution": subsets.distribution(base, "is_multi_subreddit_user"),
+        "sample": preview(base, ("id", "author", "label", *CATEGORY_FEATURES, *NUMERIC_FEATURES)),
     }
 
 

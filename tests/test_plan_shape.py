@@ -146,3 +146,12 @@ def test_bodies_are_cleaned_below_the_author_exchange(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     joins = text.index("Join")
     assert "regexp_replace" not in text[:joins] and "regexp_replace" in text[joins:]
+
+
+def test_stop_words_are_tested_in_compiled_filters(spark, sf_dir, text_base):
+    """Not in a lambda over the array, which is interpreted."""
+    rows = registry.text_users(spark, sf_dir)
+    types = stage(users.user_types(rows), "types")
+    for df in (registry.typed_terms(rows, types), terms.group_totals(explode_tokens(text_base, ["subreddit"]), "subreddit")):
+        text = plan(df)
+        assert "lambdafunction" not in text and " INSET " in text

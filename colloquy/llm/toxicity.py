@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,29 +32,30 @@ from pyspark.sql import types as T
 
 from colloquy.llm.common import WORD, append_columns, texts
 
-WINDOW = 24
+WINDOW = 16
 # Lengths of the character n-grams.
 ORDERS = (3, 4)
 CHAR_ROWS, CHAR_DIM = 1 << 15, 16
 WORD_ROWS, WORD_DIM = 1 << 14, 8
-HIDDEN, ATTENTION = 8, 8
+HIDDEN, ATTENTION = 6, 4
 # Most documents of label 0 and of label 1 to train on.
 TRAIN_DOCS = (2400, 800)
-EPOCHS, BATCH_DOCS, RATE = 6, 32, 4e-3
+EPOCHS, BATCH_DOCS, RATE = 6, 32, 6e-3
 TOP_WINDOWS = 2
 THRESHOLD = 0.7
 # Words a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 SCORED_AT_ONCE = 2048
 # Windows whose states are held at once: they stay in a core's cache.
-SLID_AT_ONCE = 1024
+SLID_AT_ONCE = 2048
 NOT_LETTERS = re.compile(r"[\W_]+")
 # Weights of a word's letters in its hash, by their place.
 POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
 
 
 def _plain(word: str) -> str:
-    return NOT_LETTERS.sub("", word.lower()) or "_"
+    lower = word.lower()
+    return lower if lower.isalpha() else NOT_LETTERS.sub("", lower) or "_"
 
 
 def _rows_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -258,9 +260,11 @@ def every_logit(net: Network, projected: np.ndarray, numbers: list[np.ndarray],
     if whole.any():
         # Longer texts are read as one row; windows over a border are left out.
         slid = net.slide(projected, np.concatenate([n for n, is_whole in zip(numbers, whole, strict=True) if is_whole]))
-        first = np.cumsum(sizes[whole]) - sizes[whole]
-        within = np.arange(counts[whole].sum()) - np.repeat(np.cumsum(counts[whole]) - counts[whole], counts[whole])
-        logits[np.repeat(whole, counts)] = slid[np.repeat(first, counts[whole]) + within]
+        ends = np.cumsum(sizes[whole])
+        inside = np.ones(len(slid), bool)
+        over = (ends[:-1, None] - np.arange(1, WINDOW)).ravel()
+        inside[over] = False
+        logits[np.repeat(whole, counts)] = slid[inside]
     return logits, begins
 
 
@@ -343,6 +347,14 @@ def _scatter(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
     return total
 
 
+class _Numbers(dict):
+    """Words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Scorer:
     """Scores of whole texts, with a bounded memory of the words' projections."""
 
@@ -351,34 +363,37 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
-        # Row of each word as written, and of each word as it enters: many are written in several ways.
-        self.index: dict[str, int] = {}
+        # Many words are written in several ways: each way has a number, each word that enters a row.
+        self.written = _Numbers()
         self.plain: dict[str, int] = {}
+        self.row_of = np.zeros(0, np.int64)
         self.rows = np.zeros((2, 4096, 3 * HIDDEN), np.float32)
+        # Row 0 is padding.
         self.rows[:, 0] = self.net.project(np.zeros((0, CHAR_DIM + WORD_DIM), np.float32))[:, 0]
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.index) > REMEMBERED:
-            self.forget()
-        new = list(words.difference(self.index))
-        plain = list(map(_plain, new))
+    def learn(self) -> None:
+        """Rows for the words that have been written since the last time."""
+        plain = list(map(_plain, islice(self.written, len(self.row_of), None)))
         fresh = list(set(plain).difference(self.plain))
         for part in range(0, len(fresh), 20_000):
             some = fresh[part : part + 20_000]
             projected = self.net.project(self.net.embed(*_rows_of(some)))[:, :-1]
-            # Row 0 is padding.
             start = len(self.plain) + 1
             while start + len(some) > self.rows.shape[1]:
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)], 1)
             self.rows[:, start : start + len(some)] = projected
             self.plain.update(zip(some, range(start, start + len(some)), strict=True))
-        self.index.update(zip(new, map(self.plain.__getitem__, plain), strict=True))
+        self.row_of = np.append(self.row_of, np.fromiter(map(self.plain.__getitem__, plain), np.int64, len(plain)))
 
     def scores(self, bodies: list[str]) -> np.ndarray:
+        if len(self.written) > REMEMBERED:
+            self.forget()
         words = [body.split() for body in bodies]
-        self.learn(set().union(*words))
-        numbers = [np.fromiter(map(self.index.__getitem__, w), np.int64, len(w)) for w in words]
-        logits, begins = every_logit(self.net, self.rows, numbers, 0)
+        sizes = np.array([len(w) for w in words])
+        numbers = np.fromiter(map(self.written.__getitem__, chain.from_iterable(words)), np.int64, sizes.sum())
+        self.learn()
+        read = np.split(self.row_of[numbers], np.cumsum(sizes)[:-1])
+        logits, begins = every_logit(self.net, self.rows, read, 0)
         return _gate(np.maximum.reduceat(logits, begins).astype(np.float64))
 
 

@@ -53,12 +53,12 @@ def test_every_window_is_scored():
     net = toxicity.Network.new(3)
     words = [f"w{i * i % 97}" for i in range(150)]
     scorer = toxicity.Scorer(net)
-    bodies = [" ".join(words[:n]) for n in (150, 23, 24, 25, 0, 5, 64)]
+    bodies = [" ".join(words[:n]) for n in (150, toxicity.WINDOW - 1, toxicity.WINDOW, toxicity.WINDOW + 1, 0, 5, 64)]
     got = scorer.scores(bodies)
     for body, score in zip(bodies, got, strict=True):
         split = body.split()
         parts = [split[at : at + toxicity.WINDOW] for at in range(max(1, len(split) - toxicity.WINDOW + 1))]
-        windows, real, _ = toxicity._windows([np.array([scorer.index[w] for w in part], np.int64) for part in parts], 0)
+        windows, real, _ = toxicity._windows([scorer.row_of[[scorer.written[w] for w in part]] for part in parts], 0)
         assert score == pytest.approx(toxicity._gate(net.forward(scorer.rows, windows, real).astype(float)).max(), abs=1e-5)
     # Each window of a text, as a text of its own, scores no more than the text.
     alone = scorer.scores([" ".join(words[at : at + toxicity.WINDOW]) for at in range(len(words) - toxicity.WINDOW + 1)])

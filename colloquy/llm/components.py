@@ -13,6 +13,10 @@ from colloquy.operators.keyed_join import attach_by_key
 from colloquy.staging import stage
 
 
+# Bytes of a round's minima that are broadcast: executors hold those of many rounds for a while.
+SMALL = 4 * 1024 * 1024
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node``, ``component`` for every node of ``edges`` (columns ``a``, ``b``, of one type):
     the smallest node reachable. Loops and repeated edges are fine; nulls must be gone.
@@ -27,10 +31,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
-        large = attach_by_key(both.filter(F.col("b") > F.col("a")), least, "a", "n", spread_by=("b",))
+        large = attach_by_key(both.filter(F.col("b") > F.col("a")), least, "a", "n", spread_by=("b",), broadcast_limit=SMALL)
         large = stage(large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "stars")
         least = stage(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "least")
-        small = attach_by_key(large, least, "a", "n", spread_by=("b",)).filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = attach_by_key(large, least, "a", "n", spread_by=("b",), broadcast_limit=SMALL).filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         current = stage(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "stars")
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")).first()
         # Done when each node hangs on one other and no edge has moved.

@@ -134,6 +134,19 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     return append_columns(docs, [T.StructField(ids, T.ArrayType(T.IntegerType()))], compute, () if keep_text else (text,))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass, one worker per task: ``docs`` without its text, with both columns."""
+
+    def compute(batches: Iterator[pa.RecordBatch]):
+        own = codec(path, pattern)
+        for batch in batches:
+            encoded = [own.encode(t) for t in texts(batch, text)]
+            yield [_lists(encoded), [own.decode(e.tolist()) for e in encoded]]
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.BinaryType())]
+    return append_columns(docs, fields, compute, (text,))
+
+
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the decoded bytes of ``ids`` in the binary column ``out``; null ids give
     no bytes."""

@@ -62,8 +62,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = piece_bpe.encode(docs, BYTE_BPE, PATTERN)
-    return digest_tokens(piece_bpe.decode(encoded, BYTE_BPE, PATTERN))
+    return digest_tokens(piece_bpe.round_trip(docs, BYTE_BPE, PATTERN))
 
 
 def digest_tokens(decoded: DataFrame) -> DataFrame:

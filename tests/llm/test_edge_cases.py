@@ -22,6 +22,13 @@ def encode(docs):
     return piece_bpe.decode(piece_bpe.encode(docs, BYTE_BPE, PATTERN), BYTE_BPE, PATTERN)
 
 
+def test_one_pass_gives_what_two_give(spark):
+    both = piece_bpe.round_trip(awkward(spark), BYTE_BPE, PATTERN)
+    apart = encode(awkward(spark))
+    assert both.columns == apart.columns
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, apart.collect()))
+
+
 OPERATORS = {
     "fertility": (lambda d: fertility.judge(d, PIECES, BYTE_BPE_MULTI, PATTERN), "kept"),
     "pareto_mix": (pareto_mix.mix, "taken"),

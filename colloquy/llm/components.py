@@ -14,7 +14,7 @@ from colloquy.staging import stage
 
 
 # Bytes of a round's minima that are broadcast: executors hold those of many rounds for a while.
-SMALL = 4 * 1024 * 1024
+SMALL = 256 * 1024
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -239,34 +239,36 @@ SQL: dict[str, str] = {
           from pages
         ), split as (
           select page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
-                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) as whole_path
           from urls
         ), rules(rule, domain, start, verdict) as (
           values ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
                  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')
         ), tags as (
-          select host, path, unnest(list_concat(
+          select host, path, host || whole_path as node, unnest(list_concat(
                    list_transform(list_filter(regexp_extract_all(bare, '(?is)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')),
                                   lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)),
                    list_transform(list_filter(regexp_extract_all(bare, '(?is)<meta\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
                                   lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>;]+)', 1)))) as target
-          from (select host, path, regexp_replace(html, '(?s)<!--.*?(-->|$)', '', 'g') as bare from split where host <> '')
+          from (select host, path, whole_path, regexp_replace(html, '(?s)<!--.*?(-->|$)', '', 'g') as bare from split where host <> '')
         ), whole as (
-          select host, path, case when contains(target, '://') then substr(target, strpos(target, '://') + 3)
+          select node, case when contains(target, '://') then substr(target, strpos(target, '://') + 3)
                                   when starts_with(target, '//') then substr(target, 3)
                                   when starts_with(target, '/') then host || target
+                                  when starts_with(target, '?') then host || path || target
+                                  when starts_with(target, '#') then node
                                   else host || case when contains(path, '/') then regexp_extract(path, '^(.*/)', 1) else '/' end || target end as rest
           from tags where target <> ''
         ), edges as (
-          select host || path as a,
-                 translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as b
+          select node as a,
+                 translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) as b
           from whole where rest <> ''
         ), sides as (
           select a, b from edges union select b, a from edges
         ), reach as (
           select a as node, a as seen from sides union select r.node, e.b from reach r join sides e on r.seen = e.a
         ), parts as (
-          select node, regexp_extract(seen, '^([^/]*)', 1) as host, regexp_extract(seen, '^[^/]*(.*)', 1) as path from reach
+          select node, regexp_extract(seen, '^([^/?]*)', 1) as host, regexp_extract(seen, '^[^/?]*([^?]*)', 1) as path from reach
         ), ruled as (
           select p.host, p.path, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
           from (select distinct host, path from split union select distinct host, path from parts) p
@@ -279,7 +281,7 @@ SQL: dict[str, str] = {
                coalesce(r.verdict, case when b.node is not null then 'block' end, 'allow') as verdict
         from split s
         left join ruled r on s.host = r.host and s.path = r.path
-        left join blocked b on s.host || s.path = b.node
+        left join blocked b on s.host || s.whole_path = b.node
     """,
     "op4_exact_dedup": """
         with t as (

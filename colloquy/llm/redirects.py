@@ -9,8 +9,10 @@ Edges come from the pages (canonical links and refresh redirects in the html) an
 of redirects. Only URLs with an edge enter the graph; pages without one are judged in
 the scan.
 
+Rules look at host and path; aliases are told apart by the whole URL up to its fragment.
+
 Rows: a URL that is null or has no ``://`` has an empty host and path, no rule and no alias,
-and is allowed. Null or empty html has no edges. Repeated rows and ties are judged alike. An
+and is allowed. Null or empty html has no edges. Columns called like a result are replaced, others are kept. Repeated rows and ties are judged alike. An
 empty table gives no rows. Only DataFrame functions are used.
 """
 
@@ -87,30 +89,31 @@ def link_targets(html: Column) -> Column:
     return F.when(html.rlike("(?i)canonical|http-equiv"), F.filter(targets, lambda t: t != ""))
 
 
-def _target_rest(target: Column, host: Column, path: Column) -> Column:
+def _target_rest(target: Column, host: Column, path: Column, node: Column) -> Column:
     """A link target as seen from a page, from its host on: whole URLs, ``//host/path``, ``/path``,
-    relative paths, and a query or fragment alone, which stays on the page's own path."""
+    relative paths, a query alone, which stays on the page's own path, and a fragment alone, which stays on the page."""
     folder = F.regexp_extract(path, r"^(.*/)", 1)
     return (
         F.when(target.contains("://"), _rest(target))
         .when(target.startswith("//"), target.substr(F.lit(3), F.length(target)))
         .when(target.startswith("/"), F.concat(host, target))
-        .when(target.rlike(r"^[?#]"), F.concat(host, path, target))
+        .when(target.startswith("?"), F.concat(host, path, target))
+        .when(target.startswith("#"), node)
         .otherwise(F.concat(host, F.when(folder == "", "/").otherwise(folder), target))
     )
 
 
 def _node(rest: Column) -> Column:
-    """Host and path name a node."""
-    return F.concat(ascii_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1))
+    """A node is the URL from its host up to the fragment: pages that differ in the query are different ones."""
+    return F.concat(ascii_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.regexp_extract(rest, r"^[^/?#]*([^#]*)", 1))
 
 
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Alias edges ``a``, ``b`` (nodes) that the pages state themselves."""
-    found = pages.select(host_of(F.col(url)).alias("_host"), path_of(F.col(url)).alias("_path"), F.explode(link_targets(F.col(html))).alias("_to"))
-    return found.filter(F.col("_host") != "").select(
-        F.concat("_host", "_path").alias("a"), _node(_target_rest(F.col("_to"), F.col("_host"), F.col("_path"))).alias("b")
-    )
+    own = _node(_rest(F.col(url))).alias("_own")
+    found = pages.select(host_of(F.col(url)).alias("_host"), path_of(F.col(url)).alias("_path"), own, F.explode(link_targets(F.col(html))).alias("_to"))
+    target = _node(_target_rest(F.col("_to"), F.col("_host"), F.col("_path"), F.col("_own")))
+    return found.filter(F.col("_host") != "").select(F.col("_own").alias("a"), target.alias("b"))
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None, url: str = "url", html: str = "html") -> DataFrame:
@@ -135,4 +138,4 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
     blocked = known.filter(F.col("_verdict") == "block").select("component").distinct()
     aliases = members.join(blocked, "component", "left_semi").select(F.col("node").alias("_node"), F.lit("block").alias("_alias"))
     verdict = F.coalesce("_verdict", "_alias", F.lit("allow")).alias("verdict")
-    return restore(judged.withColumn("_node", F.concat("host", "path")).join(aliases, "_node", "left").select(*own, "host", "path", "rule", verdict))
+    return restore(judged.withColumn("_node", _node(_rest(F.col(url)))).join(aliases, "_node", "left").select(*own, "host", "path", "rule", verdict))

@@ -66,8 +66,8 @@ def test_native_operators_run_no_python(spark, sf_dir):
 PAGES = [
     (1, "https://x.org/a?q=1", '<link rel="canonical" href="https://spam.net/es/1">'),
     (2, "https://spam.net/es/1#top", ""),
-    (3, "http://Y.org/b", "<meta http-equiv=refresh content='0; url=//x.org/a'>"),
-    (4, "https://www.example.com/en/z", "<LINK HREF='https://x.org/a' REL='canonical'>"),
+    (3, "http://Y.org/b", "<meta http-equiv=refresh content='0; url=//x.org/a?q=1'>"),
+    (4, "https://www.example.com/en/z", "<LINK HREF='https://x.org/a?q=1#part' REL='canonical'>"),
     (5, "https://x.org/c/d", '<link rel="canonical" href="e"><!-- <link rel=canonical href="https://x.org/a"> -->'),
     (6, "https://x.org/c/e", "<p>canonical</p>"),
     (7, "https://z.org/", "<link rel='stylesheet' href='https://x.org/a'>"),
@@ -75,6 +75,9 @@ PAGES = [
     (9, "https://q.org/k", ""),
     (10, "https://moved.org/old", ""),
     (11, "ftp:/no", None),
+    (12, "https://x.org/a?q=2", ""),
+    (13, "https://x.org/a", "<link rel=canonical href='?q=2'>"),
+    (14, "https://x.org/a?q=1#again", ""),
 ]
 
 
@@ -83,8 +86,9 @@ def test_blocks_reach_aliases_and_allow_rules_win(spark):
     moves = spark.createDataFrame([("https://moved.org/old", "http://far.net/fr/1"), (None, "https://x.org"), ("https://moved.org/old", None)], "source string, target string")
     got = {r.page_id: (r.rule, r.verdict) for r in redirects.judge(pages, RULES, moves).collect()}
     blocked = {p for p, (_, verdict) in got.items() if verdict == "block"}
-    # 1 and 3 alias 2, which a rule blocks; 4 does too, but a rule of its own allows it.
-    assert blocked == {1, 2, 3, 10}
+    # 1 and 3 alias 2, which a rule blocks, and 14 is 1; 4 aliases it too, but a rule of its own allows it.
+    # 12 and 13 differ from 1 in the query only, and are other pages.
+    assert blocked == {1, 2, 3, 10, 14}
     assert got[4] == ("www.example.com/en/", "allow") and got[8][1] == got[9][1] == "allow"
 
 
@@ -95,11 +99,26 @@ def test_a_query_alone_stays_on_the_path_of_the_page(spark):
         (3, "https://x.org/c/e", "<meta http-equiv=refresh content='0; url=#top'>"),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    assert {tuple(r) for r in redirects.page_edges(pages).collect()} == {("x.org/c/d", "x.org/c/d"), ("x.org/c/", "spam.net/es/1"), ("x.org/c/e", "x.org/c/e")}
+    assert {tuple(r) for r in redirects.page_edges(pages).collect()} == {("x.org/c/d?p=1", "x.org/c/d?p=2"), ("x.org/c/", "spam.net/es/1"), ("x.org/c/e", "x.org/c/e")}
     blocked = {r.page_id for r in redirects.judge(pages, RULES).collect() if r.verdict == "block"}
     assert blocked == {2}
 
 
+def test_pages_with_edges_equal_sql(spark):
+    """The given pages state no aliases: these do."""
+    import duckdb
+
+    rows = PAGES + [(20, "https://x.org/c/d?p=1", "<link rel=canonical href='?p=2'>"), (21, "https://x.org/c/d?p=2", "<link rel=canonical href='#x'>"), (22, None, "<link rel=canonical href='/a'>"),
+                    (23, "http://X.org/l/m", "<link rel=canonical href='../a'>"), (24, "http://k.org?x=/en/", "<link rel=canonical href='http://spam.net/fr/?x'>"), (25, "http://k.org?x=/en/#y", ""), (26, "http://k.org", "")]
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    want = sorted(con.execute(f"select page_id, host, path, rule, verdict from ({queries.SQL['op9_redirects']})").fetchall())
+    got = redirects.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES)
+    assert sorted(tuple(r) for r in got.select("page_id", "host", "path", "rule", "verdict").collect()) == want
+    assert {r[0] for r in want if r[4] == "block"} >= {1, 2, 3, 14, 24, 25}
+
+
 def test_longest_rule_wins(spark):
     urls = ["http://example.com/en/1", "http://a.example.com/en/1", "http://www.example.com/en/1", "http://a.www.example.com/en/", "http://notexample.com/en/1",
             "http://b.NET/es/x", "http://b.net/es", "http://b.net:80/es/x", "http://com/", "http://com", "http://example.com?/en/", None, "x"]

@@ -181,6 +181,27 @@ def test_field_probabilities_sum_over_all_segmentations():
     assert np.allclose(field.shares(lattice, rows), weight / total)
 
 
+def test_best_choice_against_every_segmentation():
+    """The dynamic programme against an enumeration of all choices of segments and types."""
+    for seed, text in enumerate(["call 606-555-7814 or 4111 1111 1111", "ssn 078-05-1120, mail a at b dot org", "10.0.0.1 and 4000 1234 5678"]):
+        lattice = span_crf.Lattice(text)
+        rng = np.random.default_rng(seed)
+        index = {n: i for i, n in enumerate(sorted({n for names in lattice.names for n in names}))}
+        field = span_crf.Field(index, np.vstack([rng.normal(size=(len(index), len(span_crf.KINDS))), np.zeros(len(span_crf.KINDS))]))
+        scores = field.weights[field.rows(lattice)].sum(1)
+
+        def most(at, lattice=lattice, scores=scores):
+            if at == len(lattice.tokens):
+                return 0.0
+            taken = [scores[s].max() + most(j) for s, (i, j) in enumerate(lattice.segments) if i == at]
+            return max([most(at + 1), *taken])
+
+        found = field.best(lattice)
+        place = {segment: s for s, segment in enumerate(lattice.segments)}
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
+        assert sum(scores[place[i, j], k] for i, j, k in found) == pytest.approx(most(0)) and found
+
+
 def test_main_text_of_made_pages():
     page = """<!doctype html><html><head><title>No</title><style>p{}</style></head><body class="page">
     <header><h1>The Site of the day</h1></header><nav><ul><li><a href=/>Home</a></li></ul></nav>

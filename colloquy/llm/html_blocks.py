@@ -2,14 +2,17 @@
 
 The first pass cuts a page into blocks of text and classifies each: blocks in menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, and blocks that are mostly links,
-are boilerplate; blocks with enough stop words for their length are text; the others, mostly short
-ones, are undecided. In the second pass an undecided block inherits the label of the nearest
-decided neighbours, within the article where the page marks one: where they differ, the nearer
-counts, and at equal distance the text. An article without any decided block is text.
-
-Where a page marks an article (``article``, ``main``), only its blocks can be text, and there neither few
-stop words nor length make a block boilerplate: the mark overrides those rules. On other pages whose
-long blocks have hardly any stop words, in a language without a list, length and links decide.
+are boilerplate; long blocks with enough stop words are text; long blocks of a section that has hardly
+any stop words in all its long blocks are boilerplate; the others, mostly short ones, are undecided. A
+single sentence without a stop word thus does not leave the text around it. In the second pass an
+undecided block inherits the label of the nearest decided neighbours, within the article where the
+page marks one: where they differ, the nearer counts, and at equal distance the text. Where nothing
+is decided, all that elements and names leave is text, if it has a word or a mark.
+
+A section is the innermost ``div``, ``section`` or the like around a block; one that holds a single block
+counts with the section around it. Where a page marks an article (``article``, ``main``), only its blocks
+can be text, and there the mark outweighs a section's few stop words. On pages whose long blocks
+have hardly any stop words, in a language without a list, length and links decide.
 
 Rows: null html counts as empty; a page without text gives the empty text. Pages are read whole;
 unclosed elements, comments, scripts and quotes run to the end of what the page has. The result
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,6 +60,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark meter nobr output q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+SECTIONS = frozenset("article center div main section".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Words in a class, id or role that name a part around the article.
 HINTS = frozenset(
@@ -74,8 +79,9 @@ ENDS_P = frozenset(
 )
 
 STOP_SHARE = 0.20
-# Under this share of stop words over the long blocks of a page, its language has no list.
-LISTED_SHARE = 0.05
+# Under this share of stop words over the long blocks of a section, it is not running text; over those
+# of a page, its language has no list.
+RUNNING_SHARE = 0.05
 LINK_SHARE = 0.5
 SHORT_CHARS = 40
 
@@ -99,23 +105,38 @@ class Block:
     linked: int  # characters within links
     outside: bool  # in a part that is not the article's
     article: int  # number of the article the block lies in, 0 for none
+    section: int = 0  # number of the section it lies in, 0 for the page
     label: bool | None = None
 
+    @property
+    def size(self) -> int:
+        return len(self.text) - self.text.count(" ")
+
+    @property
+    def mostly_links(self) -> bool:
+        return self.linked > LINK_SHARE * self.size
+
+    def stops(self) -> tuple[int, int]:
+        """Its stop words and its words."""
+        words = WORD.findall(self.text.lower())
+        return sum(map(STOP_WORDS.__contains__, words)), len(words)
+
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, unclassified."""
     found: list[Block] = []
     pieces: list[str] = []
-    # Open elements that matter: (name, outside, article); links are counted apart. Outside is 1 by
-    # a part of a name alone, which an article within takes back, and 2 for good.
-    stack: list[tuple[str, int, int]] = []
-    outside, article, articles, links, linked = 0, 0, 0, 0, 0
+    # Open elements that matter: (name, outside, article, section); links are counted apart. Outside is
+    # 1 by a part of a name alone, which an article within takes back, and 2 for good.
+    stack: list[tuple[str, int, int, int]] = []
+    outside, article, section, articles, links, linked = 0, 0, 0, 0, 0, 0
+    around = [0]  # for each section the one around it
 
     def close_block() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            found.append(Block(text, linked, outside > 0, article))
+            found.append(Block(text, linked, outside > 0, article, section))
         pieces.clear()
         linked = 0
 
@@ -148,7 +169,7 @@ def blocks_of(page: str) -> list[Block]:
         close_block()
         if name in ENDS_P and not closing and stack and stack[-1][0] == "p":
             stack.pop()
-            outside, article = stack[-1][1:] if stack else (0, 0)
+            outside, article, section = stack[-1][1:] if stack else (0, 0, 0)
         if name in VOID:
             continue
         if closing:
@@ -156,7 +177,7 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[depth][0] == name:
                     del stack[depth:]
                     break
-            outside, article = stack[-1][1:] if stack else (0, 0)
+            outside, article, section = stack[-1][1:] if stack else (0, 0, 0)
         elif name not in ("p", "li", "tr", "td", "th", "dt", "dd", "option", "html", "body") or token["rest"]:
             if name in ("html", "body"):
                 continue
@@ -169,11 +190,27 @@ def blocks_of(page: str) -> list[Block]:
                 outside = 0
                 own = own if own == 2 else 0
             outside = max(outside, own)
-            stack.append((name, outside, article))
+            if name in SECTIONS:
+                around.append(section)
+                section = len(around) - 1
+            stack.append((name, outside, article, section))
     close_block()
+    _join_single(found, around)
     return found
 
 
+def _join_single(blocks: list[Block], around: list[int]) -> None:
+    """Sections of a single block count with the section around them, inner ones first."""
+    held = Counter(block.section for block in blocks)
+    last = {block.section: block for block in blocks}
+    for section in range(len(around) - 1, 0, -1):
+        if held[section] == 1:
+            outer = around[section]
+            last[section].section = outer
+            held[outer] += 1
+            last[outer] = last[section]
+
+
 def _hidden(marks: str) -> bool:
     return any(
         (key.lower() == "style" and HIDDEN.search(value)) or key.lower() == "hidden" or (key.lower() == "aria-hidden" and "true" in value)
@@ -197,40 +234,39 @@ def _named(marks: str) -> int:
 def classify(blocks: list[Block]) -> list[bool]:
     """For each block whether it is text of the article."""
     marked = any(block.article and not block.outside for block in blocks)
-    listed = marked or _listed(blocks)
+    long = [b for b in blocks if not b.outside and b.size >= SHORT_CHARS and not b.mostly_links]
+    listed = marked or _running(long)
+    sections: dict[int, list[Block]] = {}
+    for block in long:
+        sections.setdefault(block.section, []).append(block)
+    bare = set() if marked else {section for section, held in sections.items() if listed and not _running(held)}
     for block in blocks:
-        block.label = _first_pass(block, marked, listed)
-    _second_pass([b for b in blocks if not b.outside and (b.article or not marked)], marked)
+        block.label = _first_pass(block, marked, listed, bare)
+    left = [b for b in blocks if not b.outside and (b.article or not marked)]
+    _second_pass(left, marked or any(WORD.search(b.text) for b in left))
     return [bool(block.label) for block in blocks]
 
 
-def _listed(blocks: list[Block]) -> bool:
-    """Whether the long blocks that are not mostly links have stop words of a listed language."""
-    words: list[str] = []
-    for block in blocks:
-        size = len(block.text) - block.text.count(" ")
-        if not block.outside and size >= SHORT_CHARS and block.linked <= LINK_SHARE * size:
-            words += WORD.findall(block.text.lower())
-    return sum(map(STOP_WORDS.__contains__, words)) >= LISTED_SHARE * len(words)
+def _running(blocks: list[Block]) -> bool:
+    """Whether the blocks have stop words of a listed language."""
+    counts = [block.stops() for block in blocks]
+    return sum(stops for stops, _ in counts) >= RUNNING_SHARE * sum(words for _, words in counts)
 
 
-def _first_pass(block: Block, marked: bool, listed: bool) -> bool | None:
-    if block.outside or (marked and not block.article):
+def _first_pass(block: Block, marked: bool, listed: bool, bare: set[int]) -> bool | None:
+    if block.outside or (marked and not block.article) or block.mostly_links:
         return False
-    size = len(block.text) - block.text.count(" ")
-    if block.linked > LINK_SHARE * size:
-        return False
-    words = WORD.findall(block.text.lower())
-    stops = sum(map(STOP_WORDS.__contains__, words))
-    if size >= SHORT_CHARS and (stops >= STOP_SHARE * max(len(words), 1) or (words and not listed)):
+    if block.size < SHORT_CHARS:
+        return None
+    stops, words = block.stops()
+    if stops >= STOP_SHARE * max(words, 1) or (words and not listed):
         return True
-    if not marked and size >= SHORT_CHARS and not stops:
-        return False
-    return None
+    return False if block.section in bare else None
 
 
-def _second_pass(blocks: list[Block], marked: bool) -> None:
-    """Undecided blocks inherit from the nearest decided ones, as decided by the first pass."""
+def _second_pass(blocks: list[Block], otherwise: bool) -> None:
+    """Undecided blocks inherit from the nearest decided ones, as decided by the first pass; without any,
+    they are text or not as ``otherwise`` says."""
     before: list[tuple[int, bool] | None] = []
     last = None
     for at, block in enumerate(blocks):
@@ -244,8 +280,7 @@ def _second_pass(blocks: list[Block], marked: bool) -> None:
             following = (at, block.label)
             continue
         near = [(abs(at - place), not label) for place, label in filter(None, (before[at], following))]
-        # Nothing decided: an article is text, a page without one has none.
-        block.label = not min(near)[1] if near else marked
+        block.label = not min(near)[1] if near else otherwise
 
 
 def main_text(page: str) -> str:

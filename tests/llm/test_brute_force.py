@@ -7,6 +7,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from colloquy.llm import fertility, html_blocks, lengths, piece_bpe, queries, span_crf
 from colloquy.llm.queries import BYTE_BPE, BYTE_BPE_MULTI, PATTERN, PIECES
@@ -237,18 +238,58 @@ def test_main_text_survives_names_languages_and_open_paragraphs():
     assert html_blocks.main_text(f"<article><p class='notice'>A notice of the day<p>{text}<div>{text}</div></article>") == f"{text} {text}"
 
 
-def test_main_text_of_the_table_is_the_article(spark, sf_dir):
+def _article_of(page):
     import html
 
+    article = page[page.index("<article>") + 9 : page.index("</article>")]
+    return " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", re.sub(r"</?b>", "", article))).split())
+
+
+def test_main_text_of_the_table_is_the_article(spark, sf_dir):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     rows = queries.op2_html_blocks(spark, sf_dir).collect()
     assert len(rows) == len(pages)
     for row in rows:
-        page = pages[row.page_id]
-        article = page[page.index("<article>") + 9 : page.index("</article>")]
-        expected = " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", re.sub(r"</?b>", "", article))).split())
+        expected = _article_of(pages[row.page_id])
         assert row.text == expected and row.n_chars == len(expected)
 
 
+def test_rules_find_the_article_of_pages_that_do_not_mark_it(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    assert pages.count() == pages.where(F.col("html").contains("<article>")).count()
+    unmarked = pages.withColumn("html", F.regexp_replace("html", r"(</?)(?:article|main)\b", "$1div"))
+    found = {r.page_id: r.text for r in html_blocks.extract(unmarked).collect()}
+    assert found == {r.page_id: _article_of(r.html) for r in pages.collect()}
+
+
+def test_sections_without_running_text_are_boilerplate():
+    text = "This is the text of the page and it has all of the words that one would like to have."
+    odd = "Zorblat quendrim vasterlon huppelfitz marondeck trelvin."
+    legal = "Copyright Foobar Corporation Limited, registered trademark, rights reserved worldwide."
+    page = f"<body><div><p>{text}</p><p>{odd}</p><div><p>{odd}</p></div><p>{text}</p></div><div><p>{legal}</p><p>{legal}</p><p>Short.</p></div></body>"
+    # A sentence without a stop word stays with the text around it, alone in an element or not.
+    assert html_blocks.main_text(page) == f"{text} {odd} {odd} {text}"
+    assert html_blocks.main_text(f"<div><p>{text}</p><p>{text}</p></div><div>{legal}</div>") == f"{text} {text}"
+    # The mark of an article outweighs its few stop words; links do not become text by it.
+    links = f"<p><a href=x>{text}</a></p>"
+    assert html_blocks.main_text(f"<article><p>{text}</p><div><p>{odd}</p><p>{odd}</p></div><p>{text}</p>{links}</article>") == f"{text} {odd} {odd} {text}"
+    # Nothing decided: what names and elements leave.
+    assert html_blocks.main_text("<nav>Home</nav><div><h1>Title</h1><p>Few words.</p></div><div class=ad>Buy</div>") == "Title Few words."
+
+
+def test_undecided_blocks_inherit_from_the_nearest_decided():
+    for seed in range(300):
+        rng = random.Random(seed)
+        labels = [rng.choice((True, False, None, None, None)) for _ in range(rng.randrange(12))]
+        decided = [(at, label) for at, label in enumerate(labels) if label is not None]
+        expected = []
+        for at in range(len(labels)):
+            nearest = min((abs(at - place) for place, _ in decided), default=None)
+            expected.append(any(label for place, label in decided if abs(at - place) == nearest) if decided else seed % 2 == 0)
+        blocks = [html_blocks.Block("", 0, False, 0, label=label) for label in labels]
+        html_blocks._second_pass(blocks, seed % 2 == 0)
+        assert [block.label for block in blocks] == expected
+
+
 def test_pattern_is_the_public_one():
     assert PATTERN == public_tokenizers.PATTERN

@@ -156,6 +156,48 @@ def test_field_on_sentences_it_has_not_seen():
     assert right >= 0.93 * total
 
 
+# Written by hand, in spellings that the field was not trained on; [kind|text] marks a span.
+SENTENCES = """
+My number [phone|(212) 555-0143] has changed since May.
+Ring me on [phone|415 555 2671] any evening, or try the desk.
+Desk line [phone|020 7946 0958], mornings only please.
+You can text [phone|646.555.0187] when the parcel is there.
+Wire it to [iban|DE89 3704 0044 0532 0130 00] before Friday.
+Konto [iban|GB29NWBK60161331926819] bitte.
+The rent goes to IBAN [iban|FR14 2004 1010 0505 0001 3M02 606] on the first.
+Her SSN is [ssn|219-09-9999], please shred this.
+social security no: [ssn|078-05-1120]
+Pay with [card|5500 0000 0000 0004], exp 04/27.
+Charged [card|4012888888881881] twice last night!
+mail [email|jane.doe@example.org] or visit [ip|10.0.0.12] now
+Write to [email|o_neil+bills@mail.example.co.uk] about it.
+In 1998 and 2004 we shipped 12 000 units at 19.99 each.
+See pages 100 to 200 of volume 4, chapter 12.
+The flight leaves at 10:45 from gate 22 on 2024-05-17.
+Version 2.10.3 fixes bug 48213 and bug 48377.
+A set of 24 cups costs 1,299.00 with tax.
+The room 101-20-3000 code is a part number, revision 12.
+Order the part 100-200-3000 of volume 4.
+"""
+
+
+def test_field_on_sentences_written_by_hand():
+    field = span_crf.trained()
+    found, meant = set(), set()
+    for number, line in enumerate(SENTENCES.strip().split("\n")):
+        text = ""
+        for plain, kind, value in re.findall(r"([^\[]+)|\[(\w+)\|([^\]]+)\]", line):
+            if kind:
+                meant.add((number, len(text), len(text) + len(value), kind))
+            text += plain or value
+        lattice = span_crf.Lattice(text)
+        found |= {(number, lattice.tokens[i][0], lattice.tokens[j - 1][1], span_crf.KINDS[k]) for i, j, k in field.best(lattice)}
+    right = found & meant
+    assert len(meant) == 14
+    # What was measured: weaker than on the generator's own sentences, and not to get worse.
+    assert len(right) >= 10 and len(found - meant) <= 3, (sorted(meant - found), sorted(found - meant))
+
+
 def test_field_probabilities_sum_over_all_segmentations():
     """Forward and backward sums against an enumeration of every segmentation."""
     lattice = span_crf.Lattice("call 606-555-7814 or 4111 1111 1111")

@@ -234,12 +234,13 @@ def _named(marks: str) -> int:
 def classify(blocks: list[Block]) -> list[bool]:
     """For each block whether it is text of the article."""
     marked = any(block.article and not block.outside for block in blocks)
-    long = [b for b in blocks if not b.outside and b.size >= SHORT_CHARS and not b.mostly_links]
+    # Sections matter only on pages without a mark.
+    long = [] if marked else [b for b in blocks if not b.outside and b.size >= SHORT_CHARS and not b.mostly_links]
     listed = marked or _running(long)
     sections: dict[int, list[Block]] = {}
     for block in long:
         sections.setdefault(block.section, []).append(block)
-    bare = set() if marked else {section for section, held in sections.items() if listed and not _running(held)}
+    bare = {section for section, held in sections.items() if listed and not _running(held)}
     for block in blocks:
         block.label = _first_pass(block, marked, listed, bare)
     left = [b for b in blocks if not b.outside and (b.article or not marked)]

@@ -4,8 +4,9 @@ An interval belongs to the level whose bins are the narrowest that are at least
 touches two of them at most. Two intervals meet at the level of the longer one, where the
 shorter one touches two bins at most, too. The levels are measured, not guessed: an interval is
 copied to its own level and to the higher levels at which the other side has intervals. Equal bins are joined by
-an equality, which Spark hashes or sorts and whose uneven bins adaptive execution splits; overlaps are then verified, and a pair is
-taken in the bin that holds the later of the two starts, so once.
+an equality, which Spark sorts and whose uneven bins adaptive execution splits; overlaps are then verified, and a pair is
+taken in the bin that holds the later of the two starts, so once. Neither side is broadcast: Spark estimates the copies by
+the bytes of the files they come from, which says little of their number.
 """
 
 from __future__ import annotations
@@ -56,4 +57,4 @@ def interval_join(
         same &= F.col(f"l {c}") == F.col(f"r {c}")
     overlap = (F.col("l start") <= F.col("r end")) & (F.col("r start") <= F.col("l end"))
     meet = (F.col("l level") == F.greatest("l own", "r own")) & (F.col("l bin") == F.expr("shiftright(greatest(`l start`, `r start`), `l level`)"))
-    return a.join(b, same & overlap & meet).select(F.col("l row").alias("left"), F.col("r row").alias("right"))
+    return a.join(b.hint("merge"), same & overlap & meet).select(F.col("l row").alias("left"), F.col("r row").alias("right"))

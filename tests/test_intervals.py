@@ -5,6 +5,7 @@ import random
 import pytest
 
 from colloquy.operators.intervals import interval_join, levels_of
+from colloquy.staging import stage
 from tests.conftest import rows
 from tests.test_plan_shape import plan
 
@@ -48,3 +49,10 @@ def test_no_nested_loops(spark):
         text = plan(interval_join(a, a, ("s", "e"), ("s", "e"), on))
         assert "NestedLoop" not in text and "Cartesian" not in text and "Join" in text
     assert rows(interval_join(a.limit(0), a, ("s", "e"), ("s", "e"))) == []
+
+
+def test_copies_are_not_broadcast(spark):
+    """Sizes that Spark estimates from files say nothing of the copies."""
+    a = stage(spark.createDataFrame(spans(1, 20), SCHEMA), "few")
+    for on in (["k"], []):
+        assert "BroadcastHashJoin" not in plan(interval_join(a, a, ("s", "e"), ("s", "e"), on))

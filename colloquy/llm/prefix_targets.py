@@ -88,13 +88,19 @@ def examples(expanded: DataFrame) -> DataFrame:
 
 
 def render(expanded: DataFrame) -> DataFrame:
-    """:func:`examples` with their whole ``text``. A conversation of n turns yields up to n texts of
-    up to n turns each: for conversations of ordinary length."""
-    of = expanded.select(F.col("conv_id").alias("of"), F.col("position").alias("at"), "segment")
-    prefix = examples(expanded).join(of, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("at") <= F.col("position")))
-    parts = F.array_sort(F.collect_list(F.struct("at", "segment")))
+    """:func:`examples` with their whole ``text``: all turns before the reply as its context, then the reply. A conversation of n
+    turns yields up to n texts of up to n turns each; it is gathered once, as one text, and what is shuffled does not grow
+    with its examples."""
+    parts = F.array_sort(F.collect_list(F.struct("position", "segment")))
     joined = F.array_join(F.transform(parts, lambda part: part["segment"]), "")
-    return prefix.groupBy("conv_id", "position", "chars", "loss_start", "loss_end").agg(joined.alias("text"))
+    whole = expanded.groupBy(F.col("conv_id").alias("of")).agg(joined.alias("whole"))
+    found = examples(expanded).join(whole.hint("merge"), F.col("conv_id").eqNullSafe(F.col("of")))
+    return found.select("conv_id", "position", "chars", "loss_start", "loss_end", _part("whole", F.lit(0), F.col("chars")).alias("text"))
+
+
+def _part(text: str, start: Column, end: Column) -> Column:
+    """Code points of ``text`` from ``start`` to ``end``."""
+    return F.col(text).substr((start + 1).cast("int"), (end - start).cast("int"))
 
 
 def unescape(text: str) -> str:
@@ -108,15 +114,20 @@ def read_turn(segment: str) -> tuple[str, str]:
 
 
 def read_back(expanded: DataFrame) -> DataFrame:
-    """Per conversation, from the written rows alone: the number and a digest of its turns, and of all
-    that its examples train on; code points of the formatted text.
+    """Per conversation, from the written rows and the examples rendered of them: the number and a digest of its turns, and
+    of all that its examples train on; code points of the formatted text.
 
-    A digest runs over a conversation in order, so its rows pass through one task, one batch at a time.
+    What is trained on is cut out of each example's text, and each text is held by its digest against the conversation up to
+    its reply. A digest runs over a conversation in order, so its rows pass through one task, one batch at a time.
     """
     small_batches(expanded.sparkSession)
     slots = int(expanded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    in_order = expanded.repartition(slots, "conv_id").sortWithinPartitions("conv_id", "position")
-    return in_order.select("conv_id", "segment", "chars", "loss_start", "loss_end").mapInArrow(_digest, DIGESTS)
+    masked = _part("text", F.col("loss_start"), F.col("loss_end"))
+    read = render(expanded).select(F.col("conv_id").alias("of"), F.col("position").alias("at"), F.sha2("text", 256).alias("example"), masked.alias("masked"))
+    turns = expanded.select("conv_id", "position", "segment", "chars")
+    both = turns.join(read.hint("merge"), F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("position") == F.col("at")), "left")
+    in_order = both.repartition(slots, "conv_id").sortWithinPartitions("conv_id", "position")
+    return in_order.select("conv_id", "segment", "chars", "example", "masked").mapInArrow(_digest, DIGESTS)
 
 
 class _Conversation:
@@ -124,17 +135,20 @@ class _Conversation:
 
     def __init__(self, conv_id: int | None):
         self.conv_id, self.turns, self.chars, self.trained = conv_id, 0, 0, 0
-        self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.all, self.loss, self.formatted = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
 
-    def add(self, segment: str, chars: int, start: int | None, end: int | None) -> None:
+    def add(self, segment: str, chars: int, example: str | None, masked: str | None) -> None:
         if chars != self.chars + len(segment):
             raise ValueError(f"conversation {self.conv_id}: turn {self.turns + 1} does not follow the one before")
         role, text = read_turn(segment)
         self.all.update(f"{role}\n{text}\n".encode())
-        if start is not None:
-            masked = unescape(segment[start - self.chars : end - self.chars])
-            self.trained += len(masked)
-            self.loss.update(masked.encode())
+        self.formatted.update(segment.encode())
+        if example is not None:
+            if example != self.formatted.hexdigest():
+                raise ValueError(f"conversation {self.conv_id}: the example of turn {self.turns + 1} is not the conversation up to it")
+            trained = unescape(masked)
+            self.trained += len(trained)
+            self.loss.update(trained.encode())
         self.turns += 1
         self.chars = chars
 

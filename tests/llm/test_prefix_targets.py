@@ -3,12 +3,14 @@
 import hashlib
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from colloquy.llm import prefix_targets as p
 from colloquy.llm.queries import CONTROLS
+from colloquy.staging import stage
 from tests.conftest import rows
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -69,6 +71,17 @@ def test_each_reply_is_an_example_with_all_turns_before(spark):
     assert replies == len(got) > 40
 
 
+def test_what_is_read_back_is_read_from_the_examples(spark, monkeypatch):
+    """Another mask or another context in the rendered texts shows."""
+    expanded = stage(p.expand(spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "bc")], SCHEMA)), "expanded")
+    render = p.render
+    monkeypatch.setattr(p, "render", lambda e: render(e).withColumn("loss_end", F.col("loss_end") - 1))
+    assert [r.loss_chars for r in p.read_back(expanded).collect()] == [1]
+    monkeypatch.setattr(p, "render", lambda e: render(e).withColumn("text", F.expr("substr(text, 2)")))
+    with pytest.raises(Exception, match="is not the conversation up to it"):
+        p.read_back(expanded).collect()
+
+
 def test_long_conversation_is_spread_and_equal(spark):
     """A conversation with a third of all turns, over more partitions than one."""
     made = [(1, t, "assistant" if t % 2 else "user", f"turn {t} " + "x" * (t % 50)) for t in range(900)] + [(100 + c, t, "assistant", f"{c}") for c in range(900) for t in range(2)]

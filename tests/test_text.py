@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from colloquy.functions.text import clean_text, clean_word_count, english_stop_words, explode_tokens, tokens_of
 from colloquy.operators.sentiment import comment_sentiment, lexicon_flags, sentiment_by
 from colloquy.schema import NEGATIVE_WORDS, POSITIVE_WORDS
+from tests.test_plan_shape import plan
 
 
 def stepwise(body):
@@ -140,3 +141,13 @@ def test_lexicon_words_that_are_stop_words_do_not_count(spark):
 
 def test_fixed_lists(spark):
     assert (len(POSITIVE_WORDS), len(NEGATIVE_WORDS), len(english_stop_words())) == (16, 23, 181)
+
+
+def test_links_and_numbers_are_looked_for_where_they_can_be(spark):
+    """The pattern for links costs twice the plain one; few tokens need a pattern to be told from numbers."""
+    df = frame(spark, ["see http://a b", "12 4x x4", "plain"])
+    text = plan(df.select(clean_text("body").alias("body_clean")))
+    assert "CASE WHEN (Contains(lower(body" in text and "ELSE [^a-z0-9]++ END" in text
+    assert ">= :)" in plan(explode_tokens(df.withColumnRenamed("body", "body_clean"), []))
+    tokens = df.select(F.explode(tokens_of(F.lit("123 12a a12 :12 ٣٣٣ 1234"), [])).alias("t")).distinct()
+    assert rows(tokens) == [("12a",), (":12",), ("a12",), ("٣٣٣",)]

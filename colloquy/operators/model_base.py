@@ -90,7 +90,7 @@ def with_features(valid: DataFrame, features_from: str = "all", **join) -> DataF
 
 def model_base(features: DataFrame, features_from: str = "all", **join) -> DataFrame:
     """The full model table, bodies included."""
-    return with_features(valid_text_rows(features), features_from, **join).select(*MODEL_BASE_COLUMNS)
+    return with_features(valid_text_rows(features), features_from, **{"wide": True, **join}).select(*MODEL_BASE_COLUMNS)
 
 
 def model_input(features: DataFrame, features_from: str = "all", **join) -> DataFrame:

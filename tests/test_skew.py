@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from colloquy.operators import users
 from colloquy.operators.keyed_join import attach_by_key
 from colloquy.staging import stage
+from tests.test_plan_shape import plan
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +86,15 @@ def test_pairs_equal_brute_force(spark):
 def test_staged_tables_go_to_the_configured_folder(spark, fact):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert all(folder in f for f in fact.inputFiles())
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_wide_rows_are_not_sorted(spark, fact, dim, how):
+    """Rows with texts meet a hashed table of keys, salted or not."""
+    got = attach_by_key(fact, dim, "author", "n", how, broadcast_limit=0, slots=16, wide=True)
+    text = plan(got)
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    assert rows(got) == rows(fact.join(dim, "author", how))
+    even = spark.range(1000).select("id", (F.col("id") % 500).alias("author"))
+    few = stage(even.groupBy("author").agg(F.count("*").alias("n")), "even")
+    assert "ShuffledHashJoin" in plan(attach_by_key(even, few, "author", "n", broadcast_limit=0, slots=4, wide=True))

@@ -14,13 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from colloquy.operators.subsets import feature_base, subset
 from colloquy.operators.users import author_activity, roll_up_activity
 from colloquy.sources.tables import read_table
+from colloquy.staging import COMPRESSION, setting
 
 MONTHS = ("year", "month")
+# Beyond so many periods in a task Spark sorts the rest of its rows.
+OPEN_FILES = 64
+GROUP_BYTES = 8 * 1024 * 1024
 
 
 def replace_periods(df: DataFrame, path: str, periods: Sequence[str] = MONTHS) -> None:
-    """Write the periods ``df`` holds in place of what is stored for them."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*periods).parquet(path)
+    """Write the periods ``df`` holds in place of what is stored for them. A task keeps the files of up to ``OPEN_FILES`` periods
+    open, with small row groups, instead of sorting rows with texts by their period."""
+    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**{"parquet.block.size": GROUP_BYTES, "compression": COMPRESSION})
+        writer.partitionBy(*periods).parquet(path)
 
 
 def add_comments(spark: SparkSession, comments: DataFrame, features: str, activity: str, periods: Sequence[str] = MONTHS) -> None:

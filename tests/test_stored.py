@@ -1,13 +1,16 @@
 """Tables stored by key, by period, and as sketches."""
 
 import random
+from pathlib import Path
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from checks import registry, views
 from colloquy.operators import sketches, terms, users
 from colloquy.plans import increments
 from colloquy.sources import bucketed
+from colloquy.staging import stage
 from tests.conftest import rows
 from tests.test_plan_shape import exchanges, plan
 
@@ -75,3 +78,25 @@ def test_all_grains_from_one_expansion(spark):
     assert rows(grains.filter("grain = 'group'")) == sorted([("group", "a", None, 3), ("group", "b", None, 1), ("group", None, None, 2)], key=repr)
     assert rows(grains.filter("grain = 'term'")) == [("term", None, "x", 4), ("term", None, "y", 1), ("term", None, "z", 1)]
     assert grains.filter("grain = 'group and term'").count() == 5
+
+
+def test_periods_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """A task keeps a file open for each period; the setting holds for that write alone."""
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *args: (seen.append(int(spark.conf.get(key))), write(self, *args)))
+    df = spark.range(200).select("id", F.lit(2020).alias("year"), (F.col("id") % 12).cast("int").alias("month"))
+    before = spark.conf.get(key)
+    increments.replace_periods(df, str(tmp_path / "periods"))
+    assert seen == [increments.OPEN_FILES] and spark.conf.get(key) == before
+    assert rows(spark.read.parquet(str(tmp_path / "periods")).select("id", "year", "month")) == rows(df)
+
+
+def test_written_texts_are_packed(spark, tmp_path):
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(80)), lambda i: F.substring(F.md5((F.col("id") * i).cast("string")), 1, 3)), " ")
+    df = spark.range(3000).select("id", words.alias("body"), F.lit(2020).alias("year"), F.lit(1).alias("month"))
+    size = lambda path: sum(f.stat().st_size for f in Path(path).rglob("*.parquet"))
+    df.write.option("compression", "snappy").parquet(str(tmp_path / "plain"))
+    increments.replace_periods(df, str(tmp_path / "periods"))
+    staged = stage(df, "texts").inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert max(size(tmp_path / "periods"), size(staged)) < 0.8 * size(tmp_path / "plain")

@@ -80,6 +80,15 @@ def test_all_grains_from_one_expansion(spark):
     assert grains.filter("grain = 'group and term'").count() == 5
 
 
+def test_grains_expand_counts_not_terms(spark):
+    tokens = spark.createDataFrame([("a", "x")] * 50 + [(None, "x")], "g string, token string")
+    grains = terms.term_grains(tokens, "g")
+    assert all("/term-counts-" in file for file in grains.inputFiles()) and grains.inputFiles()
+    assert rows(grains.filter("grain = 'group and term'")) == sorted([("group and term", "a", "x", 50), ("group and term", None, "x", 1)], key=repr)
+    assert rows(grains.filter("grain in ('term', 'all')")) == [("all", None, None, 51), ("term", None, "x", 51)]
+    assert rows(terms.term_grains(tokens.limit(0), "g")) == []
+
+
 def test_periods_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     """A task keeps a file open for each period; the setting holds for that write alone."""
     key, seen = "spark.sql.maxConcurrentOutputFileWriters", []

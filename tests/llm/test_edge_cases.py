@@ -2,11 +2,12 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from colloquy.llm import content_sort, fertility, html_blocks, lengths, pareto_mix, partition_join, piece_bpe, redirects, span_crf, toxicity
+from colloquy.llm import common, content_sort, fertility, html_blocks, lengths, pareto_mix, partition_join, piece_bpe, redirects, span_crf, toxicity
 from colloquy.llm.queries import BYTE_BPE, BYTE_BPE_MULTI, PATTERN, PIECES, RULES
 from tests.llm.helpers import awkward, awkward_rows, empty
 from tests.llm.test_partition_join import naive
@@ -121,3 +122,15 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
     docs.limit(0).write.parquet(str(empty_dir / "documents.parquet"))
     labelled(spark).limit(0).write.parquet(str(empty_dir / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(empty_dir)).count() == 0
+
+
+def test_workers_give_back_what_arrow_keeps(monkeypatch):
+    """At the end of a task, and when it is ended before its last batch."""
+    calls = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: calls.append(1)})())
+    batches = [pa.RecordBatch.from_pydict({"x": [i]}) for i in range(3)]
+    assert list(common.released(lambda rows: rows)(iter(batches))) == batches and calls == [1]
+    ended = common.released(lambda rows: rows)(iter(batches))
+    assert next(ended) == batches[0] and calls == [1]
+    ended.close()
+    assert calls == [1, 1]

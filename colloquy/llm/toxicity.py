@@ -20,10 +20,9 @@ result are replaced.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, count, islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +45,10 @@ TOP_WINDOWS = 2
 THRESHOLD = 0.7
 # Words a worker remembers before it starts anew.
 REMEMBERED = 150_000
-# Words whose n-grams are embedded at once, which stay in a core's cache.
-LEARNED_AT_ONCE = 4000
 SCORED_AT_ONCE = 2048
 # Windows whose states are held at once: they stay in a core's cache.
 SLID_AT_ONCE = 2048
-HALF, ONE = np.float32(0.5), np.float32(1)
 NOT_LETTERS = re.compile(r"[\W_]+")
-# The same in words that stand on lines.
-NOT_LETTERS_OF_LINE = re.compile(r"(?:[^\w\n]|_)+")
 # Weights of a word's letters in its hash, by their place.
 POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
 
@@ -64,18 +58,6 @@ def _plain(word: str) -> str:
     return lower if lower.isalpha() else NOT_LETTERS.sub("", lower) or "_"
 
 
-def _plains(words: list[str]) -> list[str]:
-    """:func:`_plain` of words without white space, worked out for all at once."""
-    if not words:
-        return []
-    lower = "\n".join(words).lower().split("\n")
-    letters = list(map(str.isalpha, lower))
-    others = [at for at, is_letters in enumerate(letters) if not is_letters]
-    for at, plain in zip(others, NOT_LETTERS_OF_LINE.sub("", "\n".join([lower[at] for at in others])).split("\n"), strict=bool(others)):
-        lower[at] = plain or "_"
-    return lower
-
-
 def _rows_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the character table for the n-grams of all words in order, where each word's begin (every word has
     one), and rows of the word table. All are hashes of code points, worked out for all words at once."""
@@ -85,19 +67,16 @@ def _rows_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(words)), lengths)
     place = np.arange(len(points)) - np.repeat(ends - lengths, lengths)
     whole = np.add.reduceat((points + np.uint64(1)) * POWERS[place % len(POWERS)], ends - lengths)
-    # A word's n-grams stand together, those of a lower order first.
-    counts = [np.maximum(lengths - n + 1, 0) for n in ORDERS]
-    total = sum(counts)
-    begins = np.cumsum(total) - total
-    buckets, value, first = np.empty(total.sum(), np.int64), np.zeros(len(points), np.uint64), begins
-    left = np.repeat(lengths, lengths) - place
+    buckets, owners, value = [], [], np.zeros(len(points), np.uint64)
     for n in range(1, max(ORDERS) + 1):
         value = value[: len(points) - n + 1] * np.uint64(0x100000001B3) ^ points[n - 1 :]
         if n in ORDERS:
-            at = np.flatnonzero(left[: len(value)] >= n)
-            buckets[first[owner[at]] + place[at]] = _bucket(value[at] ^ np.uint64(n), CHAR_ROWS)
-            first = first + counts[ORDERS.index(n)]
-    return buckets, begins, _bucket(whole, WORD_ROWS)
+            at = np.flatnonzero(place[: len(value)] + n <= lengths[owner[: len(value)]])
+            buckets.append(_bucket(value[at] ^ np.uint64(n), CHAR_ROWS))
+            owners.append(owner[at])
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    begins = np.searchsorted(np.concatenate(owners)[order], np.arange(len(words)))
+    return np.concatenate(buckets)[order], begins, _bucket(whole, WORD_ROWS)
 
 
 def _bucket(value: np.ndarray, rows: int) -> np.ndarray:
@@ -178,48 +157,43 @@ class Network:
         """Logits of the windows from each word on of a row of words: those of ``forward``. Neighbours
         share their inputs, which are laid out once by word and read shifted by a step."""
         w, count = self.weights, len(numbers) - WINDOW + 1
-        # A gate is (1 + tanh) / 2 of half its input: the halves are in the weights. What attention and the output
-        # read of a state is worked out with what the state carries into the next step.
-        read = np.concatenate([w["attend"], w["out"][:, None]], 1).reshape(2, HIDDEN, ATTENTION + 1)
-        state_weights = np.concatenate([0.5 * w["state"], read], 2).transpose(0, 2, 1).copy()
-        biases = np.append(w["attend_bias"], w["out_bias"][:1])[:, None]
+        # A gate is (1 + tanh) / 2 of half its input: the halves are in the weights.
+        state_weights = np.ascontiguousarray(0.5 * w["state"].transpose(0, 2, 1))
+        read = np.concatenate([w["attend"], w["out"][:, None]], 1).T.copy()
         logits = np.empty(max(count, 0), np.float32)
         for at in range(0, count, SLID_AT_ONCE):
             n = min(SLID_AT_ONCE, count - at)
             inputs = np.ascontiguousarray(projected[:, numbers[at : at + n + WINDOW - 1]].transpose(0, 2, 1))
             inputs[:, : 2 * HIDDEN] *= 0.5
-            # What both directions give of each word of a window: the hidden layer of attention, and the output.
-            seen = np.empty((WINDOW, ATTENTION + 1, n), np.float32)
-            seen[:] = biases
-            # The first state is 0 and carries nothing.
-            carried = np.zeros((2, 3 * HIDDEN + ATTENTION + 1, n), np.float32)
-            gates, fresh, given = carried[:, : 2 * HIDDEN], carried[:, 2 * HIDDEN : 3 * HIDDEN], carried[:, 3 * HIDDEN :]
-            update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
             state = np.zeros((2, HIDDEN, n), np.float32)
+            states = np.empty((WINDOW, 2, HIDDEN, n), np.float32)
             for t in range(WINDOW):
                 back = WINDOW - 1 - t
-                for side, first in ((0, t), (1, back)):
-                    np.add(gates[side], inputs[side, : 2 * HIDDEN, first : first + n], out=gates[side])
+                shifted = (inputs[0, :, t : t + n], inputs[1, :, back : back + n])
+                carried = state_weights @ state
+                gates, fresh = carried[:, : 2 * HIDDEN], carried[:, 2 * HIDDEN :]
+                for side in (0, 1):
+                    gates[side] += shifted[side][: 2 * HIDDEN]
                 np.tanh(gates, out=gates)
-                np.add(gates, ONE, out=gates)
-                np.multiply(fresh, reset, out=fresh)
-                for side, first in ((0, t), (1, back)):
-                    np.add(fresh[side], inputs[side, 2 * HIDDEN :, first : first + n], out=fresh[side])
+                gates += 1
+                update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
+                fresh *= reset
+                for side in (0, 1):
+                    fresh[side] += shifted[side][2 * HIDDEN :]
                 np.tanh(fresh, out=fresh)
-                np.multiply(update, HALF, out=update)
-                np.subtract(state, fresh, out=state)
-                np.multiply(state, update, out=state)
-                np.add(state, fresh, out=state)
-                np.matmul(state_weights, state, out=carried)
-                np.add(seen[t], given[0], out=seen[t])
-                np.add(seen[back], given[1], out=seen[back])
-            hidden, value = seen[:, :ATTENTION], seen[:, ATTENTION]
+                update *= 0.5
+                state -= fresh
+                state *= update
+                state += fresh
+                states[t, 0] = state[0]
+                states[back, 1] = state[1]
+            hidden = read @ states.reshape(WINDOW, 2 * HIDDEN, n)
+            value, hidden = hidden[:, ATTENTION], hidden[:, :ATTENTION]
+            hidden += w["attend_bias"][:, None]
             np.tanh(hidden, out=hidden)
-            share = w["attend_out"] @ hidden
-            share -= share.max(0)
-            np.exp(share, out=share)
-            value *= share
-            logits[at : at + n] = value.sum(0) / share.sum(0)
+            scores = w["attend_out"] @ hidden
+            share = np.exp(scores - scores.max(0))
+            logits[at : at + n] = (share * value).sum(0) / share.sum(0) + w["out_bias"][0]
         return logits
 
     def backward(self, projected: np.ndarray, windows: np.ndarray, kept, slope: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -373,6 +347,14 @@ def _scatter(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
     return total
 
 
+class _Numbers(dict):
+    """Words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Scorer:
     """Scores of whole texts, with a bounded memory of the words' projections."""
 
@@ -382,7 +364,7 @@ class Scorer:
 
     def forget(self) -> None:
         # Many words are written in several ways: each way has a number, each word that enters a row.
-        self.written: dict[str, int] = defaultdict(count().__next__)
+        self.written = _Numbers()
         self.plain: dict[str, int] = {}
         self.row_of = np.zeros(0, np.int64)
         self.rows = np.zeros((2, 4096, 3 * HIDDEN), np.float32)
@@ -391,10 +373,10 @@ class Scorer:
 
     def learn(self) -> None:
         """Rows for the words that have been written since the last time."""
-        plain = _plains(list(islice(self.written, len(self.row_of), None)))
+        plain = list(map(_plain, islice(self.written, len(self.row_of), None)))
         fresh = list(set(plain).difference(self.plain))
-        for part in range(0, len(fresh), LEARNED_AT_ONCE):
-            some = fresh[part : part + LEARNED_AT_ONCE]
+        for part in range(0, len(fresh), 20_000):
+            some = fresh[part : part + 20_000]
             projected = self.net.project(self.net.embed(*_rows_of(some)))[:, :-1]
             start = len(self.plain) + 1
             while start + len(some) > self.rows.shape[1]:

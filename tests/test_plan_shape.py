@@ -155,3 +155,13 @@ def test_stop_words_are_tested_in_compiled_filters(spark, sf_dir, text_base):
     for df in (registry.typed_terms(rows, types), terms.group_totals(explode_tokens(text_base, ["subreddit"]), "subreddit")):
         text = plan(df)
         assert "lambdafunction" not in text and " INSET " in text
+
+
+def test_sentiment_writes_no_pieces_that_are_no_terms(text_base):
+    text = comment_sentiment(text_base)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(body_clean") == 1 and not re.search(r"split\(body_clean#\d+,  , -1\) AS", text)
+
+
+def test_comments_are_not_coalesced_by_what_was_shuffled(spark, sf_dir):
+    """A narrow event becomes a whole text: tasks as many as cores, or one more, would run in two waves."""
+    assert views.comments(spark, sf_dir).rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism

@@ -165,3 +165,13 @@ def test_sentiment_writes_no_pieces_that_are_no_terms(text_base):
 def test_comments_are_not_coalesced_by_what_was_shuffled(spark, sf_dir):
     """A narrow event becomes a whole text: tasks as many as cores, or one more, would run in two waves."""
     assert views.comments(spark, sf_dir).rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("name", ["top_terms_by_community", "top_terms_by_label"])
+def test_terms_are_cleaned_after_they_are_counted_and_shuffled_without_their_group(spark, sf_dir, name):
+    text = registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    below = text[text.index("Aggregate [piece"):].split("\n", 1)[1]
+    assert below.count("regexp_replace") == 1 and "CASE WHEN (octet_length(piece" in below
+    shuffled = plan(registry.QUERIES[name](spark, sf_dir))
+    assert re.search(r"hashpartitioning\(piece#\d+, \d+\)", shuffled) and re.search(r"hashpartitioning\(token#\d+, \d+\)", shuffled)
+    assert not re.search(r"hashpartitioning\((subreddit|controversiality)#\d+, (token|piece)#", shuffled)

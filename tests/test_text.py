@@ -7,6 +7,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import clean_text, clean_word_count, english_stop_words, explode_tokens, tokens_of
+from colloquy.operators import terms
 from colloquy.operators.sentiment import comment_sentiment, lexicon_flags, sentiment_by
 from colloquy.schema import NEGATIVE_WORDS, POSITIVE_WORDS
 from tests.test_plan_shape import plan
@@ -151,3 +152,21 @@ def test_links_and_numbers_are_looked_for_where_they_can_be(spark):
     assert ">= :)" in plan(explode_tokens(df.withColumnRenamed("body", "body_clean"), []))
     tokens = df.select(F.explode(tokens_of(F.lit("123 12a a12 :12 ٣٣٣ 1234"), [])).alias("t")).distinct()
     assert rows(tokens) == [("12a",), (":12",), ("a12",), ("٣٣٣",)]
+
+
+def test_terms_counted_from_pieces_equal_those_of_whole_texts(spark):
+    pieces = ["http", "http://a.b/c", "https://", "www.", "WWW.X.org", "Word", "word", "word,", "don't", "THE", "the", "x1", "123", "1234a",
+              " ", " ", " ", "\n", "\n\n", "\t", "\r\n", "\x0b", "Grüße", "ß", "İstanbul", "\u212aelvin", "ΣΑΣ", "漢字" * 9, "😀", "ht", "tp",
+              "abcdefgh" * 5, "a,b,word;cde/fgh-ijk" * 3, "www.http://x", "end-http"]
+    rng = random.Random(11)
+    data = [(rng.choice(["a", "b", "c", None]), rng.randint(0, 60), "".join(rng.choices(pieces, k=rng.randint(0, 20)))) for _ in range(4_000)]
+    data += [("a", 1, None), ("only", 1, "   "), (None, None, "")]
+    df = spark.createDataFrame(data, "g string, many int, body string")
+    whole = df.withColumn("body_clean", clean_text("body"))
+    few, many = terms.few_groups(df, "g"), terms.few_groups(df, "many")
+    assert set(few) == {"a", "b", "c", "only", None} and many is None
+    for dim, groups in (("g", few), ("g", None), ("many", many)):
+        assert rows(terms.counted_terms(df, dim, groups)) == rows(terms.term_counts(explode_tokens(whole, [dim]), [dim]))
+    assert rows(terms.counted_terms(df)) == rows(terms.term_counts(explode_tokens(whole, []), []))
+    nothing = df.limit(0)
+    assert terms.counted_terms(nothing, "g", terms.few_groups(nothing, "g")).collect() == []

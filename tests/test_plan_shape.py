@@ -167,7 +167,7 @@ def test_comments_are_not_coalesced_by_what_was_shuffled(spark, sf_dir):
     assert views.comments(spark, sf_dir).rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
 
 
-@pytest.mark.parametrize("name", ["top_terms_by_community", "top_terms_by_label"])
+@pytest.mark.parametrize("name", ["term_counts_by_community", "top_terms_by_community", "top_terms_by_label"])
 def test_terms_are_cleaned_after_they_are_counted_and_shuffled_without_their_group(spark, sf_dir, name):
     text = registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     below = text[text.index("Aggregate [piece"):].split("\n", 1)[1]

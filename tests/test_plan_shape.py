@@ -175,3 +175,15 @@ def test_terms_are_cleaned_after_they_are_counted_and_shuffled_without_their_gro
     shuffled = plan(registry.QUERIES[name](spark, sf_dir))
     assert re.search(r"hashpartitioning\(piece#\d+, \d+\)", shuffled) and re.search(r"hashpartitioning\(token#\d+, \d+\)", shuffled)
     assert not re.search(r"hashpartitioning\((subreddit|controversiality)#\d+, (token|piece)#", shuffled)
+
+
+def test_groups_of_terms_are_read_without_a_join_and_hold_all_of_the_comments(spark, sf_dir):
+    every = views.dimensions(spark, sf_dir)
+    assert "Join" not in plan(every)
+    for dim in ("subreddit", "controversiality"):
+        assert set(terms.few_groups(every, dim)) >= set(terms.few_groups(views.comments(spark, sf_dir), dim))
+
+
+def test_blank_bodies_are_told_without_counting_characters(features):
+    text = subsets.valid_text_rows(features.select("body", "is_removed_or_deleted", "is_deleted_author"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length(trim(body" in text and "(length(trim(body" not in text

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from colloquy.operators.keyed_join import attach_by_key
 from colloquy.operators.subsets import valid_text_rows
 from colloquy.operators.users import author_activity, mean_of, multi_community_flag
 from colloquy.schema import CATEGORY_FEATURES, MODEL_BASE_COLUMNS, NUMERIC_FEATURES
-from colloquy.staging import stage
+from colloquy.staging import delete, held, shuffles_freed, stage
 
 # What the model inputs are made from.
 INPUT_SOURCES = (
@@ -73,8 +75,8 @@ def feature_rows(valid: DataFrame, features_from: str = "all") -> DataFrame:
     return valid if features_from == "all" else split(valid)[0]
 
 
-def with_features(valid: DataFrame, features_from: str = "all", **join) -> DataFrame:
-    """Valid rows with both feature tables and the model columns.
+def attach_features(valid: DataFrame, features_from: str = "all", **join) -> DataFrame:
+    """Valid rows with both feature tables.
 
     Activity is aggregated and written once; both feature tables come from it.
     ``join`` goes to :func:`attach_by_key`. Comments without an author or community
@@ -84,13 +86,38 @@ def with_features(valid: DataFrame, features_from: str = "all", **join) -> DataF
     users = stage(user_features(activity), "user-features")
     communities = stage(community_features(activity), "community-features")
     joined = attach_by_key(valid, users, "author", "total_comments_per_user", "left", **join)
-    joined = attach_by_key(joined, communities, "subreddit", "subreddit_total_comments", "left", **join)
-    return with_model_columns(joined)
+    return attach_by_key(joined, communities, "subreddit", "subreddit_total_comments", "left", **join)
 
 
-def model_base(features: DataFrame, features_from: str = "all", **join) -> DataFrame:
-    """The full model table, bodies included."""
-    return with_features(valid_text_rows(features), features_from, **{"wide": True, **join}).select(*MODEL_BASE_COLUMNS)
+def with_features(valid: DataFrame, features_from: str = "all", **join) -> DataFrame:
+    """Valid rows with both feature tables and the model columns."""
+    return with_model_columns(attach_features(valid, features_from, **join))
+
+
+def model_base(
+    features: DataFrame,
+    features_from: str = "all",
+    bodies: Callable[[DataFrame], DataFrame] | None = None,
+    source: Sequence[str] = (),
+    **join,
+) -> DataFrame:
+    """The full model table, bodies included.
+
+    Rows of a stored table cross the joins with their bodies. Where ``bodies`` can give rows their bodies
+    back from the columns ``source``, these are read once for the valid rows and what is known of them, and
+    the joins move narrow rows; what they were made of is deleted when they are written.
+    """
+    valid = valid_text_rows(features)
+    if bodies is None:
+        return with_features(valid, features_from, **{"wide": True, **join}).select(*MODEL_BASE_COLUMNS)
+    spark = features.sparkSession
+    with shuffles_freed(spark):
+        with held(spark) as folder:
+            rows = stage(valid.select(*INPUT_SOURCES, "year", "day", *source), "model-rows")
+            joined = attach_features(rows, features_from, **join)
+        joined = stage(joined, "model-features")
+        delete(spark, folder)
+    return with_model_columns(bodies(joined)).select(*MODEL_BASE_COLUMNS)
 
 
 def model_input(features: DataFrame, features_from: str = "all", **join) -> DataFrame:

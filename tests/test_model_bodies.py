@@ -48,7 +48,7 @@ def test_comments_are_the_same_with_their_source(spark, odd_dir):
     assert rows(source.drop(*views.SOURCE)) == rows(plain)
 
 
-@pytest.mark.parametrize("name", ["ml_model_base"])
+@pytest.mark.parametrize("name", ["ml_model_base", "ml_model_base_nulls"])
 def test_bodies_are_not_dealt_out_by_author(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(mb, "attach_by_key", functools.partial(mb.attach_by_key, broadcast_limit=0))
     text = plan(registry.QUERIES[name](spark, sf_dir))
